@@ -558,7 +558,9 @@ def review_report(spark, folder):
 @query
 def correction_export(spark, folder):
     return review.correction_records(_reviewed(spark, folder)).select(
-        "message_id", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record")
+        "message_id", "text", "llm_annotations.*", "llm_response",
+        review.reason_codes("issues").alias("issues"),
+        *[F.col(f"human_corrections.{c}").alias(f"human_{c}") for c in review.rules.CORRECTION_FIELDS],
     )
 
 

@@ -186,14 +186,13 @@ def distribution_anomalies(df: DataFrame) -> DataFrame:
 def correction_records(reviewed: DataFrame, order: str = "message_id") -> DataFrame:
     """Review candidates in the shape a person fills in; empty fields stay as nulls."""
     empty = F.lit(None).cast("string")
-    corrections = ("primary_intent", "message_tone", "safety_level", "ideal_response", "notes")
     return ranked_candidates(reviewed, order).select(
         "message_id",
         F.coalesce("text", F.lit(rules.MISSING_TEXT)).alias("text"),
         F.struct(*DIMENSIONS, "confidence").alias("llm_annotations"),
         F.coalesce("response", F.lit("")).alias("llm_response"),
         F.col("reasons").alias("issues"),
-        F.struct(*[empty.alias(c) for c in corrections]).alias("human_corrections"),
+        F.struct(*[empty.alias(c) for c in rules.CORRECTION_FIELDS]).alias("human_corrections"),
     )
 
 

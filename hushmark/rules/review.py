@@ -51,3 +51,4 @@ WORDING_RULES = {
 TOP_CANDIDATES = 20
 EXAMPLES_PER_ISSUE = 3
 MISSING_TEXT = "N/A"
+CORRECTION_FIELDS = ("primary_intent", "message_tone", "safety_level", "ideal_response", "notes")
