@@ -1,4 +1,4 @@
-from hushmark.functions.draws import draw, pick
+from hushmark.functions.draws import draw, pick, text_array
 from hushmark.functions.text import (
     bar,
     blank,
@@ -15,5 +15,5 @@ from hushmark.functions.text import (
 
 __all__ = [
     "bar", "blank", "contains_any", "draw", "emoji_count", "guess_language", "issue_type",
-    "matches_labels", "percent", "pick", "question_marks", "sentence_count", "whole_words",
+    "matches_labels", "percent", "pick", "question_marks", "sentence_count", "text_array", "whole_words",
 ]

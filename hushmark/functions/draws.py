@@ -2,24 +2,37 @@
 
 ``rand()`` changes when a lost task is run again; a draw hashed from the row's own
 key gives the same answer on every attempt, on every layout.
+
+Fixed lists go in as one SQL expression: built value by value, a long list costs more
+driver time than the query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def draw(n: int, salt: str, *keys: Column | str) -> Column:
+def quoted(value: str | None) -> str:
+    """A SQL string literal."""
+    if value is None:
+        return "cast(null as string)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_array(values: Iterable[str | None]) -> Column:
+    """An array of constants."""
+    return F.expr("array(" + ", ".join(quoted(v) for v in values) + ")")
+
+
+def draw(n: int, salt: str, *keys: str) -> Column:
     """Uniform integer in ``[0, n)`` from the key columns and a salt."""
-    parts = [F.col(k) if isinstance(k, str) else k for k in keys]
-    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts], F.lit(salt)))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % n
+    parts = ", ".join([f"cast(`{k}` as string)" for k in keys] + [quoted(salt)])
+    return F.expr(f"cast(conv(substring(md5(concat_ws('|', {parts})), 1, 8), 16, 10) as bigint) % {n}")
 
 
 def pick(values: Sequence[str | None], index: Column) -> Column:
     """The value at a 0-based index of a fixed list."""
-    options = F.array(*[F.lit(v).cast("string") for v in values])
-    return F.element_at(options, (index + 1).cast("int"))
+    return F.element_at(text_array(values), (index + 1).cast("int"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hushmark.functions import text_array
 from hushmark.plans.ordered import chunk_by_hash, number_rows
 from hushmark.rules import labels as rules
 
@@ -265,8 +266,7 @@ def calibration_sessions(
 ) -> DataFrame:
     """Control items without labels, once per session; all sessions share one order."""
     bank = shuffled_bank(control, seed)
-    names = F.array(*[F.lit(s) for s in sessions])
-    return bank.select(F.explode(names).alias("session"), "position", "id", "text")
+    return bank.select(F.explode(text_array(sessions)).alias("session"), "position", "id", "text")
 
 
 def order_fingerprint(

@@ -9,6 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hushmark.functions import text_array
 from hushmark.operators.redact import TEST_COLUMN, redact_text
 from hushmark.operators.seed import only_seeded, per_value
 from hushmark.plans.once import evaluate_once
@@ -36,9 +37,7 @@ def residuals(
         )
         return everything.alias(f"{category}s")
 
-    known = F.filter(
-        F.array(*[F.lit(n) for n in names]), lambda n: F.contains(low, F.lower(n))
-    )
+    known = F.filter(text_array(names), lambda n: F.contains(low, F.lower(n)))
     return evaluate_once(df, *[found(c) for c in SCANNED], known.alias("names"))
 
 

@@ -25,11 +25,20 @@ def _moves(edges: Iterable[tuple[str, str]]) -> list[str]:
 
 
 def state_pairs(
-    df: DataFrame, group: str, state: str, order: Sequence[str], chunk: Column
+    df: DataFrame,
+    group: str,
+    state: str,
+    order: Sequence[str],
+    chunk: Column,
+    with_next_order: bool = False,
 ) -> DataFrame:
-    """Consecutive states: the row, ``position``, and ``next_`` of the state and the order."""
+    """Consecutive states: the row, ``position`` and ``next_<state>``.
+
+    ``with_next_order`` also carries ``next_`` of the order columns.
+    """
     columns = list(dict.fromkeys([group, *order, state]))
-    return adjacent_pairs(df.select(*columns), [group], order, [state, *order], chunk)
+    carry = [state, *order] if with_next_order else [state]
+    return adjacent_pairs(df.select(*columns), [group], order, carry, chunk)
 
 
 def invalid_transitions(
@@ -49,7 +58,7 @@ def invalid_transitions(
     for example ``next_seconds - seconds >= 86400``.  The edge list is part of the
     expression: no join.
     """
-    pairs = state_pairs(df, group, state, order, chunk)
+    pairs = state_pairs(df, group, state, order, chunk, with_next_order=gap is not None)
     current, following = F.col(state), F.col(f"next_{state}")
     move = _move(current, following)
     allowed = move.isin(*_moves((a, b) for a, targets in edges.items() for b in targets))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushmark.functions import draw, pick
+from hushmark.functions import draw, pick, text_array
 from hushmark.operators.seed import seed_messages
 from hushmark.rules import labels as rules
 
@@ -95,11 +95,15 @@ def with_labels(df: DataFrame) -> DataFrame:
     )
 
 
-def _relabelled(column: str, values: tuple[str | None, ...], who: Column | str, percent: int) -> Column:
-    key = F.col(who) if isinstance(who, str) else who
-    changed = draw(100, f"relabel_{column}", *KEYS, key) < percent
-    other = pick(values, draw(len(values), f"second_{column}", *KEYS, key))
-    return F.when(changed, other).otherwise(F.col(column))
+VALUES = {"primary_intent": INTENTS, "message_tone": TONES, "safety_level": LEVELS}
+
+
+def _relabelled(column: str, who: str, percent: int = 15) -> Column:
+    """The label, or for a share of the rows another draw that depends on ``who``."""
+    values = VALUES[column]
+    changed = draw(100, f"relabel_{column}", *KEYS, who) < percent
+    other = pick(values, draw(len(values), f"second_{column}", *KEYS, who))
+    return F.when(changed, other).otherwise(F.col(column)).alias(column)
 
 
 def session_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,37 +113,28 @@ def session_records(spark: SparkSession, folder: str) -> DataFrame:
     """
     base = with_labels(messages(spark, folder))
     recordings = base.select(
-        *KEYS, "message_id", *rules.SESSION_DIMENSIONS,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(s).alias("session"), F.lit(q).cast("bigint").alias("seq"))
-                    for s, q in (("day1", 0), ("day1", 1), ("day2", 0), ("day2", 1))
-                ]
-            )
-        ).alias("r"),
-    ).select("*", "r.session", "r.seq").drop("r")
+        *KEYS, "message_id", *VALUES, F.explode(text_array(("day1-0", "day1-1", "day2-0", "day2-1"))).alias("who")
+    )
+    recordings = recordings.withColumns(
+        {"session": F.split_part("who", F.lit("-"), F.lit(1)), "seq": F.expr("cast(right(who, 1) as bigint)")}
+    )
     # a tenth of the messages is missing in a session, a fifth is recorded twice
     there = draw(10, "in_session", *KEYS, "session") > 0
     twice = draw(5, "twice", *KEYS, "session") == 0
     kept = recordings.where(there & ((F.col("seq") == 0) | twice))
-    who = F.concat_ws("-", "session", "seq")
-    values = {"primary_intent": INTENTS, "message_tone": TONES, "safety_level": LEVELS}
     return kept.select(
-        "session", "message_id", F.lit(0).cast("bigint").alias("recorded_at"), "seq",
-        *[_relabelled(d, v, who, 15).alias(d) for d, v in values.items()],
+        "session", "message_id", F.expr("0L as recorded_at"), "seq",
+        *[_relabelled(d, "who") for d in VALUES],
     )
 
 
 def annotator_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Each message labelled by the annotators that a draw assigns to it."""
     base = with_labels(messages(spark, folder))
-    each = base.withColumn("annotator", F.explode(F.array(*[F.lit(a) for a in ANNOTATORS])))
+    each = base.withColumn("annotator", F.explode(text_array(ANNOTATORS)))
     assigned = each.where(draw(2, "assigned", *KEYS, "annotator") == 0)
-    values = {"primary_intent": INTENTS, "message_tone": TONES, "safety_level": LEVELS}
     return assigned.select(
-        "message_id", "annotator",
-        *[_relabelled(d, v, "annotator", 15).alias(d) for d, v in values.items()],
+        "message_id", "annotator", *[_relabelled(d, "annotator") for d in VALUES]
     )
 
 
