@@ -469,12 +469,12 @@ def confusion_matrix(spark, folder):
 
 
 def _reviewed(spark, folder):
-    return review.review(derive.annotations(spark, folder))
+    return review.review(derive.annotations(spark, folder, spread=True))
 
 
 @query
 def response_quality(spark, folder):
-    rows = review.with_response_quality(derive.annotations(spark, folder))
+    rows = review.with_response_quality(derive.annotations(spark, folder, spread=True))
     details = F.col("reasons.detail")
     return rows.select(
         "message_id",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hushmark.plans.once import evaluate_once
+
 ROOT = "$"
 
 
@@ -32,31 +34,33 @@ def _members(value: Column) -> Column:
 
 def parsed(df: DataFrame, json: str, *keep: str) -> DataFrame:
     """Kept columns, ``root`` as variant and ``root_kind``; malformed text is ``invalid``."""
-    root = F.try_parse_json(json)
-    return df.select(*keep, root.alias("root")).withColumn(
-        "root_kind", F.when(F.col("root").isNull(), "invalid").otherwise(kind(F.col("root")))
-    )
+    docs = evaluate_once(df.select(*keep, json), F.try_parse_json(json).alias("root"))
+    found = F.when(F.col("root").isNull(), "invalid").otherwise(kind(F.col("root")))
+    return docs.select(*keep, "root", found.alias("root_kind"))
 
 
 def members(df: DataFrame, json: str, *keep: str) -> DataFrame:
-    """One row per top-level key of an object, or one row ``$`` for any other root."""
-    docs = parsed(df, json, *keep).where("root_kind <> 'invalid'")
+    """One row per top-level key of an object, or one row ``$`` for any other root.
+
+    With the kind of its value, and for lists the ``length``, the kind of the first
+    element, and for objects the ``inner_keys``.
+    """
+    docs = parsed(df, json, *keep).where("root is not null")
     own = F.when(F.col("root_kind") == "object", _members(F.col("root"))).otherwise(
         F.create_map(F.lit(ROOT), F.col("root"))
     )
     rows = docs.select(*keep, F.explode(own).alias("key", "value"))
-    rows = rows.withColumn("kind", kind(F.col("value")))
-    items = F.when(F.col("kind") == "array", _elements(F.col("value")))
-    first = F.try_element_at(items, F.lit(1))
+    rows = evaluate_once(rows, kind(F.col("value")).alias("kind"))
+    rows = evaluate_once(
+        rows, F.when(F.col("kind") == "array", _elements(F.col("value"))).alias("_items")
+    )
+    first = F.try_element_at("_items", F.lit(1))
+    inner = F.when(F.col("kind") == "object", F.col("value")).when(F.size("_items") > 0, first)
     return rows.select(
-        "*",
-        F.size(items).alias("length"),
-        F.when(F.size(items) > 0, kind(first)).alias("first_kind"),
-        F.map_keys(
-            F.when(F.col("kind") == "object", _members(F.col("value"))).when(
-                F.size(items) > 0, _members(first)
-            )
-        ).alias("inner_keys"),
+        *keep, "key", "value", "kind",
+        F.size("_items").alias("length"),
+        F.when(F.size("_items") > 0, kind(first)).alias("first_kind"),
+        F.map_keys(_members(inner)).alias("inner_keys"),
     )
 
 

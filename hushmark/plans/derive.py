@@ -67,9 +67,9 @@ def _label(values: tuple[str | None, ...], salt: str) -> Column:
     return pick(values, draw(len(values), salt, *KEYS))
 
 
-def annotations(spark: SparkSession, folder: str) -> DataFrame:
+def annotations(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """One labelled row per message, with a response and a place on a timeline."""
-    return with_labels(messages(spark, folder)).withColumn(
+    return with_labels(messages(spark, folder, spread)).withColumn(
         "response", F.concat_ws(" ", "text", pick(SNIPPETS, draw(len(SNIPPETS), "snippet", *KEYS)))
     )
 
@@ -179,7 +179,7 @@ def event_documents(spark: SparkSession, folder: str) -> DataFrame:
         )
         .otherwise(F.concat(F.lit("["), props, F.lit("]")))
     )
-    return events(spark, folder).select("event_id", body.alias("json"))
+    return load(spark, folder, "events", "event_id").select("event_id", body.alias("json"))
 
 
 def user_history(spark: SparkSession, folder: str) -> DataFrame:

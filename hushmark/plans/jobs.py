@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hushmark.operators import review
 from hushmark.operators.messages import flatten
 from hushmark.operators.redact import redact_nested, statistics
 from hushmark.operators.seed import seed_messages, seeding_details, seeding_totals
+from hushmark.plans import reports
 from hushmark.rules.pii import PII_RULES, PiiRule
-from hushmark.sources.corpus import SOURCE, read_corpus, write_json
+from hushmark.sources.corpus import SOURCE, read_corpus, write_corrections, write_json
 
 
 def message_rows(conversations: DataFrame) -> DataFrame:
@@ -69,6 +71,22 @@ def seed_corpus(
     return totals, details
 
 
+def review_annotations(
+    spark: SparkSession, annotations: DataFrame, out: str, mode: str = "errorifexists"
+) -> DataFrame:
+    """Review flat annotations (``review.flat_annotations``) and write every report.
+
+    The rules run once, into ``<out>/reviewed``; ``report``, ``stats`` and the ranked
+    ``corrections`` read that table, so the sort samples a scan and not the rules.
+    """
+    review.review(annotations).write.mode(mode).parquet(f"{out}/reviewed")
+    reviewed = spark.read.parquet(f"{out}/reviewed")
+    write_json(reports.review_report(reviewed), f"{out}/report", keep_nulls=True, mode=mode)
+    write_json(reports.quick_stats(reviewed), f"{out}/stats", keep_nulls=True, mode=mode)
+    write_corrections(review.correction_records(reviewed), f"{out}/corrections", mode=mode)
+    return reviewed
+
+
 def run_record(conversations: DataFrame, version: str, source: str = SOURCE) -> DataFrame:
     """One row about a finished run: files and conversations."""
     return conversations.agg(
