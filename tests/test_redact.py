@@ -28,7 +28,7 @@ CASES = [
     ("tel: 555 1234", "[PHONE_REMOVED]", {"phone": 1}),
     ("Call me at: 555-4321", "Call me at: 555-4321", {}),
     ("MARÍA GARCÍA y Juan PÉREZ", "[NAME_REMOVED] y [NAME_REMOVED]", {"name": 2}),
-    ("John Smith", "[NAME_REMOVED]", {"name": 1}),
+    ("John\u00a0Smith", "[NAME_REMOVED]", {"name": 1}),
     ("John\x1cSmith", "[NAME_REMOVED]", {"name": 1}),
     ("éJohn Smith", "éJohn Smith", {}),
     ("Ana Sánchezé", "Ana Sánchezé", {}),
@@ -94,7 +94,7 @@ def generated_texts(n, seed):
         "555-123-4567", "(555)", "555.1234", "+52", "867", "123", "4567", "5551234567", "55512345678",
         "Tel:", "WhatsApp:", "cell:", "IG:", "Snapchat:", "fb:", "٣٤٥-123-4567",
         "12", "99999", "Main", "Street", "St.", "calle", "Col.", "Col.Centro", "Colonia", "Stone",
-        "https://a.b/c?d=(e)", "HTTP://x[1]", "http://", "https://é.com/ z",
+        "https://a.b/c?d=(e)", "HTTP://x[1]", "http://", "https://é.com/\u00a0z",
         " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\x85", "\x1c", "\x1f", ".", ",", "-", "!", "?",
         "(", ")", ":", "/",
         "İ", "ı", "\u212a", "²", "½", "Ⅷ", "\u0301", "\ufe0f", "\u200d", "😊", "_", "的", "ß", "Å",
