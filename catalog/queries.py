@@ -257,7 +257,7 @@ def label_tool_tasks(spark, folder):
 
 @query
 def run_record(spark, folder):
-    return jobs.run_record(derive.documents(spark, folder), "1.0", source="source")
+    return jobs.run_record(derive.documents(spark, folder), "1.0", source="source", stamp=False)
 
 
 @query

@@ -266,7 +266,10 @@ def calibration_sessions(
 ) -> DataFrame:
     """Control items without labels, once per session; all sessions share one order."""
     bank = shuffled_bank(control, seed)
-    return bank.select(F.explode(text_array(sessions)).alias("session"), "position", "id", "text")
+    return bank.select(
+        F.explode(text_array(sessions)).alias("session"), "position", "id", "text",
+        F.current_timestamp().alias("started_at"),
+    )
 
 
 def order_fingerprint(

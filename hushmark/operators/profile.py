@@ -91,9 +91,10 @@ def inner_key_profile(df: DataFrame, json: str) -> DataFrame:
 def key_samples(df: DataFrame, json: str, order: str, n: int = 2) -> DataFrame:
     """The first ``n`` values of each key, as JSON text, by an order column."""
     first = Window.partitionBy("key").orderBy(order)
-    return (
+    ranked = (
         members(df, json, order)
-        .select(order, "key", F.to_json("value").alias("value"))
+        .select(order, "key", "value")
         .withColumn("sample", F.row_number().over(first))
         .where(F.col("sample") <= n)
     )
+    return ranked.withColumn("value", F.to_json("value"))

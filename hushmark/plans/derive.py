@@ -38,13 +38,13 @@ LINES = (
 def load(spark: SparkSession, folder: str, name: str, *key: str) -> DataFrame:
     """A given table.
 
-    A small table can be one file with one row group, which is one task.  When there
-    are fewer files than cores, rows are spread over the cores by key.  A large table
-    has many files and is read as it is: no shuffle.
+    A small table can come in fewer splits than there are cores; its rows are then
+    spread over the cores by key.  A large table has many splits and is read as it is:
+    no shuffle.
     """
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if key and len(df.inputFiles()) < cores:
+    if key and df.rdd.getNumPartitions() < cores:
         df = df.repartition(cores, *key)
     return df
 

@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hushmark.config import JobConfig
 from hushmark.operators import review
-from hushmark.operators.messages import flatten
+from hushmark.operators.guidelines import vocabulary
+from hushmark.operators.messages import flatten, nested_within_length
 from hushmark.operators.redact import redact_nested, statistics
 from hushmark.operators.seed import seed_messages, seeding_details, seeding_totals
 from hushmark.plans import reports
-from hushmark.rules.pii import PII_RULES, PiiRule
-from hushmark.sources.corpus import SOURCE, read_corpus, write_corrections, write_json
+from hushmark.rules.pii import PII_RULES, PiiRule, select_rules
+from hushmark.sources.corpus import (
+    SOURCE,
+    read_corpus,
+    write_corrections,
+    write_json,
+    write_label_tasks,
+)
 
 
 def message_rows(conversations: DataFrame) -> DataFrame:
@@ -64,7 +72,9 @@ def seed_corpus(
     seeded.write.mode(mode).parquet(f"{out}/seeded")
     written = spark.read.parquet(f"{out}/seeded")
     write_json(written, f"{out}/messages", mode=mode)
-    totals = seeding_totals(written, "conversation_id", SOURCE)
+    totals = seeding_totals(written, "conversation_id", SOURCE).withColumn(
+        "seeded_at", F.current_timestamp()
+    )
     details = seeding_details(written, SOURCE)
     write_json(totals, f"{out}/totals", keep_nulls=True, mode=mode)
     write_json(details, f"{out}/values", mode=mode)
@@ -87,9 +97,39 @@ def review_annotations(
     return reviewed
 
 
-def run_record(conversations: DataFrame, version: str, source: str = SOURCE) -> DataFrame:
-    """One row about a finished run: files and conversations."""
-    return conversations.agg(
+def prepare_corpus(
+    spark: SparkSession,
+    config: JobConfig,
+    out: str,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+    mode: str = "errorifexists",
+) -> DataFrame:
+    """Redact the configured categories in conversations of the configured length.
+
+    Writes ``<out>/redacted``, and from it the labelling tasks, the vocabulary and the
+    run record; returns the run record.
+    """
+    corpus = read_corpus(spark, config.raw_data_path, config.file_pattern, schema, multi_line)
+    kept = nested_within_length(corpus, config.min_messages, config.max_messages)
+    rules = select_rules(config.categories)
+    redact_nested(kept, rules=rules, counts=True).write.mode(mode).parquet(f"{out}/redacted")
+    written = spark.read.parquet(f"{out}/redacted")
+    if config.label_tasks:
+        tasks = written.select("conversation_id", "messages", SOURCE)
+        write_label_tasks(tasks, f"{out}/tasks", config.include_metadata, mode)
+    words = vocabulary(message_rows(written), n=config.vocabulary_limit)
+    write_json(words, f"{out}/vocabulary", mode=mode)
+    record = run_record(written, config.version)
+    write_json(record, f"{out}/run", mode=mode)
+    return record
+
+
+def run_record(
+    conversations: DataFrame, version: str, source: str = SOURCE, stamp: bool = True
+) -> DataFrame:
+    """One row about a finished run: files and conversations, and when."""
+    record = conversations.agg(
         F.count_distinct(source).alias("files_processed"),
         F.count(F.lit(1)).alias("conversations"),
     ).select(
@@ -98,3 +138,4 @@ def run_record(conversations: DataFrame, version: str, source: str = SOURCE) ->
         "files_processed",
         "conversations",
     )
+    return record.withColumn("finished_at", F.current_timestamp()) if stamp else record

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from hushmark.config import JobConfig
 from hushmark.operators import profile, review
 from hushmark.plans import derive, jobs
 from hushmark.sources import corpus
@@ -101,6 +102,34 @@ def test_review_job(spark, tiny, tmp_path):
     assert corrections[0]["human_corrections"]["notes"] is None
 
 
+def test_configured_job(spark, folder, tmp_path):
+    config = JobConfig.from_dict(
+        {
+            "pipeline": {"version": "2.1", "name": "x"},
+            "data_sources": {"raw_data_path": str(folder), "file_pattern": "*.json"},
+            "anonymization": {"patterns_to_remove": ["emails", "phones"]},
+            "pattern_analysis": {"vocabulary_size_limit": 4},
+            "output": {"label_studio_format": True, "include_metadata": False},
+        }
+    )
+    record = jobs.prepare_corpus(spark, config, str(tmp_path / "run")).first()
+    assert (record["version"], record["conversations"], record["files_processed"]) == ("2.1", 3, 2)
+    tasks = read_lines(spark, tmp_path / "run" / "tasks")
+    texts = {m["text"] for t in tasks for m in t["data"]["messages"]}
+    assert texts == {"Soy María García, niño 😊", "llama al [PHONE_REMOVED] o [EMAIL_REMOVED]", ""}
+    assert all(set(t) == {"data"} for t in tasks)
+    assert len(read_lines(spark, tmp_path / "run" / "vocabulary")) == 4
+    with pytest.raises(ValueError, match="ids"):
+        bad = JobConfig(str(folder), categories=("emails", "ids"))
+        jobs.prepare_corpus(spark, bad, str(tmp_path / "bad"))
+
+
+def test_config_file_defaults(tmp_path):
+    (tmp_path / "c.json").write_text('{"data_sources": {"raw_data_path": "in/"}}')
+    config = JobConfig.from_json(str(tmp_path / "c.json"))
+    assert config == JobConfig("in/") and config.max_messages == 50
+
+
 def test_label_tasks(spark, folder, tmp_path):
     corpus.write_label_tasks(corpus.read_corpus(spark, str(folder)), str(tmp_path / "tasks"))
     tasks = read_lines(spark, tmp_path / "tasks")
