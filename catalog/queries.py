@@ -39,7 +39,7 @@ def query(function: Query) -> Query:
 
 
 def _turns():
-    return ordered.chunk_by_position("turn")
+    return ordered.chunk_by_position("turn", 1_000)
 
 
 # --- redaction -----------------------------------------------------------------------

@@ -14,16 +14,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def chunk_by_position(position: str, size: int = 1_000) -> Column:
-    """Chunks of a dense position such as a turn number; null comes last."""
-    return F.coalesce(F.floor(F.col(position) / size), F.lit(2**62)).cast("bigint")
+def _never_null(chunk: Column) -> Column:
+    """A missing chunk comes last."""
+    return F.coalesce(chunk.cast("bigint"), F.lit(2**62))
 
 
-def chunk_by_time(ts: str, seconds: int = 3_600) -> Column:
-    """Chunks of a timeline; a null timestamp comes last."""
-    return F.coalesce(
-        F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (seconds * 1_000_000)), F.lit(2**62)
-    ).cast("bigint")
+def chunk_by_position(position: str, size: int = 100_000) -> Column:
+    """Chunks of a dense position such as a turn number."""
+    return F.floor(F.col(position) / size)
+
+
+def chunk_by_time(ts: str, seconds: int = 86_400) -> Column:
+    """Chunks of a timeline.  Wide enough for most groups to fit into a few."""
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (seconds * 1_000_000))
 
 
 def chunk_by_hash(digest: Column, prefix: int = 3) -> Column:
@@ -36,11 +39,11 @@ def number_rows(
 ) -> DataFrame:
     """0-based position of each row in its group, by ``order``.
 
-    ``chunk`` must not decrease along ``order``.  Groups are defined by ``keys``; none
-    means the whole table.
+    ``chunk`` must not decrease along ``order``; nulls come last.  Groups are defined by
+    ``keys``; none means the whole table.
     """
     parts = [*keys, "_chunk"]
-    cut = df.withColumn("_chunk", chunk)
+    cut = df.withColumn("_chunk", _never_null(chunk))
     slots = cut.withColumn(
         "_slot", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)) - 1
     )
@@ -68,38 +71,49 @@ def adjacent_pairs(
 ) -> DataFrame:
     """Each row that has a follower, with ``next_<column>`` and its 0-based ``position``.
 
-    ``chunk`` must not decrease along ``order``, and the order must be total, ascending
-    and free of nulls within a chunk.  Rows with a null key have no group and drop out.
+    ``chunk`` must not decrease along ``order``; nulls come last.  Rows with a null key
+    have no group and drop out.
     """
     parts = [*keys, "_chunk"]
-    cut = df.dropna(subset=list(keys)).withColumn("_chunk", chunk)
+    cut = df.dropna(subset=list(keys)).withColumn("_chunk", _never_null(chunk))
     within = Window.partitionBy(*parts).orderBy(*order)
-    values = F.struct(*carry)
+    slot = F.row_number().over(within) - 1
+
     rows = cut.withColumns(
         {
-            "_slot": F.row_number().over(within) - 1,
-            "_follower": F.lead(values).over(within),
+            "_slot": slot,
+            "_more": F.lead(F.lit(True)).over(within),
+            **{f"_lead_{c}": F.lead(c).over(within) for c in carry},
         }
     )
-    along = Window.partitionBy(*keys).orderBy("_chunk")
-    links = (
-        cut.groupBy(*parts)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min_by(values, F.struct(*order)).alias("_head"))
-        .select(
-            *parts,
-            F.coalesce(
-                F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_offset"),
-            F.lead("_head").over(along).alias("_next_head"),
+    # The heads come from the same shuffled rows: same columns, so the exchange is reused.
+    heads = (
+        cut.withColumns(
+            {"_slot": slot, "_n": F.count(F.lit(1)).over(Window.partitionBy(*parts))}
         )
+        .where(F.col("_slot") == 0)
+        .select(*parts, "_n", *[F.col(c).alias(f"_head_{c}") for c in carry])
     )
-    joined = rows.join(links, parts).withColumn(
-        "_next", F.coalesce("_follower", "_next_head")
+    along = Window.partitionBy(*keys).orderBy("_chunk")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    links = heads.select(
+        *parts,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.lead(F.lit(True)).over(along).alias("_linked"),
+        *[F.lead(f"_head_{c}").over(along).alias(f"_head_{c}") for c in carry],
     )
-    return joined.where(F.col("_next").isNotNull()).select(
-        *df.columns,
-        (F.col("_slot") + F.col("_offset")).cast("bigint").alias("position"),
-        *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carry],
+    more, linked = F.col("_more").isNotNull(), F.col("_linked").isNotNull()
+    return (
+        rows.join(links, parts)
+        .where(more | linked)
+        .select(
+            *df.columns,
+            (F.col("_slot") + F.col("_offset")).cast("bigint").alias("position"),
+            *[
+                F.when(more, F.col(f"_lead_{c}")).otherwise(F.col(f"_head_{c}")).alias(f"next_{c}")
+                for c in carry
+            ],
+        )
     )
 
 
