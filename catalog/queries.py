@@ -370,9 +370,10 @@ def stage_invalid_transitions_gap(spark, folder):
 
 @query
 def status_invalid_transitions(spark, folder):
+    history = derive.user_history(spark, folder)
     return transitions.invalid_transitions(
-        derive.user_history(spark, folder), "user_id", "customer_status", ["ts", "seq"],
-        ordered.chunk_by_time("ts", 86_400), edges=label_rules.STATUS_EDGES,
+        history, "user_id", "customer_status", ["ts", "seq"],
+        ordered.chunk_by_time(history, "ts"), edges=label_rules.STATUS_EDGES,
     )
 
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _never_null(chunk: Column) -> Column:
@@ -24,12 +25,21 @@ def chunk_by_position(position: str, size: int = 100_000) -> Column:
     return F.floor(F.col(position) / size)
 
 
-def chunk_by_time(ts: str, seconds: int = 86_400) -> Column:
-    """Chunks of a timeline.  Wide enough for most groups to fit into a few."""
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (seconds * 1_000_000))
+def chunk_by_time(df: DataFrame, ts: str, seconds: int = 86_400) -> Column:
+    """Chunks of a timeline.  Wide enough for most groups to fit into a few.
+
+    A timestamp without zone is read field by field: turned into an instant it would
+    not keep its order where clocks change.
+    """
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        day = F.unix_date(F.to_date(ts)).cast("bigint")
+        at = day * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
+    else:
+        at = F.unix_seconds(ts)
+    return F.floor(at / seconds)
 
 
-def chunk_by_hash(digest: Column, prefix: int = 3) -> Column:
+def chunk_by_hash(digest: Column, prefix: int = 4) -> Column:
     """Chunks of a hex digest order: ``16 ** prefix`` of them, evenly filled."""
     return F.conv(F.substring(digest, 1, prefix), 16, 10).cast("bigint")
 

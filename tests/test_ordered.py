@@ -98,16 +98,33 @@ def test_stage_cases(spark):
     assert {r["conv"] for r in guide.collect()} == {"a"}
 
 
-def test_missing_timestamps_come_last(spark):
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_missing_timestamps_come_last(spark, kind):
     df = spark.createDataFrame(
         [("a", None, 2), ("a", "2024-01-01 00:00:00", 1), ("a", "2024-01-02 10:00:00", 0), ("a", None, 1)],
         "conv string, ts string, id int",
-    ).withColumn("ts", F.to_timestamp("ts"))
-    numbered = ordered.number_rows(df, ["conv"], ["ts", "id"], ordered.chunk_by_time("ts"))
+    ).withColumn("ts", F.col("ts").cast(kind))
+    chunk = ordered.chunk_by_time(df, "ts", 3_600)
+    numbered = ordered.number_rows(df, ["conv"], ["ts", "id"], chunk)
     got = [(r["ts"] is None, r["id"]) for r in sorted(numbered.collect(), key=lambda r: r["position"])]
     assert got == [(False, 1), (False, 0), (True, 1), (True, 2)]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Mexico_City", "Asia/Beirut"])
+def test_time_chunks_follow_local_time(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        hours = spark.range(0, 24 * 400).select(
+            F.expr("timestamp_ntz'2021-01-01 00:30:00' + make_interval(0, 0, 0, 0, int(id))").alias("ts")
+        )
+        cut = hours.withColumn("chunk", ordered.chunk_by_time(hours, "ts", 3_600)).orderBy("ts")
+        chunks = [r["chunk"] for r in cut.collect()]
+        assert chunks == list(range(chunks[0], chunks[0] + len(chunks)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @pytest.mark.parametrize("span", [1, 100, 5000])
 def test_trailing_count(frame, rows, span):
     kept = [r for r in rows if r[0] is not None]
