@@ -135,7 +135,7 @@ def message_language(spark, folder):
 
 @query
 def seeding_totals(spark, folder):
-    totals = seed.seeding_totals(derive.seeded(spark, folder), "conv_id", "role")
+    totals = seed.seeding_totals(derive.seeded(spark, folder), "role", conversation="conv_id")
     return totals.withColumn("percent_seeded", F.round("percent_seeded", 6))
 
 

@@ -149,10 +149,11 @@ def redact_nested(
     Each pattern runs once per message, and rows stay where they are.  ``counts`` adds
     ``n_<category>`` and ``_pii_removed_count`` per conversation.
     """
-    element = conversations.schema[messages].dataType.elementType
-    fields = set(element.fieldNames())
+    names = [count_column(rule.category) for rule in rules]
+    fields = message_fields(conversations, messages)
     if "text" not in fields:
-        return conversations
+        zeros = [*names, "_pii_removed_count"] if counts else []
+        return conversations.withColumns({c: F.lit(0) for c in zeros})
 
     state = F.transform(
         F.col(messages), lambda m: F.struct(m.alias("message"), m["text"].alias("text"))
@@ -199,7 +200,7 @@ def _nested_replace(rule: PiiRule, done: tuple[str, ...]) -> Callable[[Column],
     return step
 
 
-def _nested_result(s: Column, fields: set[str], counted: list[str]) -> Column:
+def _nested_result(s: Column, fields: list[str], counted: list[str]) -> Column:
     message = s["message"]
     changed = F.coalesce(s["text"] != message["text"], F.lit(False))
     total = reduce(add, [s[c] for c in counted], F.lit(0))
@@ -237,9 +238,8 @@ def observe_statistics(redacted: DataFrame, name: str = "redaction") -> tuple[Da
     return observed, seen
 
 
-def is_nested(df: DataFrame, messages: str = "messages") -> bool:
-    """Whether a column of conversations holds an array of message structs."""
-    if messages not in df.columns:
-        return False
-    kind = df.schema[messages].dataType
-    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)
+def message_fields(conversations: DataFrame, messages: str = "messages") -> list[str]:
+    """Field names of the messages; none when the array holds no structs (all empty)."""
+    kind = conversations.schema[messages].dataType
+    element = kind.elementType if isinstance(kind, T.ArrayType) else None
+    return element.fieldNames() if isinstance(element, T.StructType) else []

@@ -96,15 +96,25 @@ def candidates(reviewed: DataFrame) -> DataFrame:
     return reviewed.where(F.col("n_reasons") > 0)
 
 
-def ranked_candidates(reviewed: DataFrame, order: str = "message_id") -> DataFrame:
-    """Review candidates, most reasons first, then in input order."""
-    return candidates(reviewed).orderBy(F.desc("n_reasons"), order)
+def ranked_candidates(
+    reviewed: DataFrame, order: str = "message_id", settle: bool = True
+) -> DataFrame:
+    """Review candidates, most reasons first, then in input order.
+
+    A global sort reads its input twice, once for a sample.  ``settle`` puts a shuffle
+    before it, so that the second reading finds finished rows and the rules run once;
+    leave it out when ``reviewed`` is a table already.
+    """
+    found = candidates(reviewed)
+    if settle:
+        found = found.repartition(order)
+    return found.orderBy(F.desc("n_reasons"), order)
 
 
 def top_candidates(
     reviewed: DataFrame, n: int = rules.TOP_CANDIDATES, order: str = "message_id"
 ) -> DataFrame:
-    return ranked_candidates(reviewed, order).limit(n)
+    return candidates(reviewed).orderBy(F.desc("n_reasons"), order).limit(n)
 
 
 def issue_histogram(reviewed: DataFrame) -> DataFrame:
@@ -183,10 +193,12 @@ def distribution_anomalies(df: DataFrame) -> DataFrame:
     )
 
 
-def correction_records(reviewed: DataFrame, order: str = "message_id") -> DataFrame:
-    """Review candidates in the shape a person fills in; empty fields stay as nulls."""
+def correction_records(
+    reviewed: DataFrame, order: str = "message_id", settle: bool = True
+) -> DataFrame:
+    """Ranked candidates in the shape a person fills in; empty fields stay as nulls."""
     empty = F.lit(None).cast("string")
-    return ranked_candidates(reviewed, order).select(
+    return ranked_candidates(reviewed, order, settle).select(
         "message_id",
         F.coalesce("text", F.lit(rules.MISSING_TEXT)).alias("text"),
         F.struct(*DIMENSIONS, "confidence").alias("llm_annotations"),

@@ -134,16 +134,33 @@ def seeded_values(df: DataFrame, *keep: str) -> DataFrame:
     return only_seeded(df).select(*keep, F.inline(per_value(fields, entry)))
 
 
-def seeding_totals(df: DataFrame, conversation: str, by: str, *more: str) -> DataFrame:
-    """Conversations, messages, seeded messages and their share, and distinct values, per group."""
+def seeding_totals(
+    df: DataFrame,
+    by: str,
+    *more: str,
+    conversation: str | None = None,
+    position: str | None = None,
+) -> DataFrame:
+    """Conversations, messages, seeded messages and their share, and distinct values, per group.
+
+    Conversations are counted by distinct ``conversation`` ids, or, on the rows of
+    ``messages.flatten``, by their first ``position`` (no ids needed; a row without
+    position is a conversation without messages).
+    """
     groups = [by, *more]
     fields = df.schema[TEST_COLUMN].dataType.fieldNames()
     seeded = F.count_if(F.col(TEST_COLUMN).isNotNull())
+    if position is not None:
+        conversations = F.count_if(F.coalesce(F.col(position), F.lit(0)) == 0)
+        number = F.count(position)
+    else:
+        conversations = F.count_distinct(conversation)
+        number = F.count(F.lit(1))
     totals = df.groupBy(*groups).agg(
-        F.count_distinct(conversation).alias("conversations"),
-        F.count(F.lit(1)).alias("messages"),
+        conversations.alias("conversations"),
+        number.alias("messages"),
         seeded.alias("messages_seeded"),
-        (seeded * 100.0 / F.count(F.lit(1))).alias("percent_seeded"),
+        F.when(number > 0, seeded * 100.0 / number).alias("percent_seeded"),
     )
     distinct = seeding_details(df, *groups).groupBy(*groups).agg(
         *[F.count_if(F.col("category") == f).alias(f"distinct_{f}") for f in fields]

@@ -9,8 +9,13 @@ from pyspark.sql import types as T
 from hushmark.config import JobConfig
 from hushmark.operators import review
 from hushmark.operators.guidelines import vocabulary
-from hushmark.operators.messages import flatten, nested_within_length
-from hushmark.operators.redact import redact_nested, statistics
+from hushmark.operators.messages import flatten, nest, nested_within_length
+from hushmark.operators.redact import (
+    TEST_COLUMN,
+    message_fields,
+    redact_nested,
+    statistics,
+)
 from hushmark.operators.seed import seed_messages, seeding_details, seeding_totals
 from hushmark.plans import reports
 from hushmark.rules.pii import PII_RULES, PiiRule, select_rules
@@ -24,9 +29,12 @@ from hushmark.sources.corpus import (
 
 
 def message_rows(conversations: DataFrame) -> DataFrame:
-    """Messages of a nested corpus as flat rows with the message fields as columns."""
+    """Messages of a nested corpus as flat rows: the conversation's fields, ``pos``, and the
+    message's fields, which win where names clash."""
+    fields = message_fields(conversations)
     flat = flatten(conversations).where(F.col("pos").isNotNull())
-    return flat.select(*[c for c in flat.columns if c != "message"], "message.*")
+    outer = [c for c in flat.columns if c != "message" and c not in fields]
+    return flat.select(*outer, *[F.col(f"message.{f}").alias(f) for f in fields])
 
 
 def redact_corpus(
@@ -65,14 +73,32 @@ def seed_corpus(
 ) -> tuple[DataFrame, DataFrame]:
     """Seed the messages of a corpus; returns the totals and the seeded values per file.
 
-    Messages are written flat, one per line, keyed by conversation and position.
+    ``<out>/conversations`` has the input's shape plus the truth, ready for
+    ``redact_corpus(..., multi_line=False)``.  Conversations are told apart by their
+    own fields and their file.
     """
     corpus = read_corpus(spark, source, schema=schema, multi_line=multi_line)
-    seeded = seed_messages(message_rows(corpus), ["conversation_id", "pos"])
+    fields = message_fields(corpus)
+    if "text" not in fields:
+        raise ValueError(f"no message with text in {source}")
+    flags = [f for f in ("text", "has_photo", "has_gif") if f in fields]
+    flat = flatten(corpus).select(
+        F.struct(*[c for c in corpus.columns if c != "messages"]).alias("conversation"),
+        SOURCE, "pos", "message", *[F.col(f"message.{f}").alias(f) for f in flags],
+    )
+    keyed = flat.withColumn("_key", F.to_json("conversation"))
+    seeded = seed_messages(keyed, ["_key", "pos"]).drop("_key", *flags[1:])
     seeded.write.mode(mode).parquet(f"{out}/seeded")
+
     written = spark.read.parquet(f"{out}/seeded")
-    write_json(written, f"{out}/messages", mode=mode)
-    totals = seeding_totals(written, "conversation_id", SOURCE).withColumn(
+    changed = F.col("message").withField("text", F.col("text")).withField(
+        TEST_COLUMN, F.col(TEST_COLUMN)
+    )
+    nested = nest(written.withColumn("message", changed), ["conversation"])
+    whole = nested.select("conversation.*", "part", "messages").drop(SOURCE)
+    write_json(whole, f"{out}/conversations", mode=mode)
+
+    totals = seeding_totals(written, SOURCE, position="pos").withColumn(
         "seeded_at", F.current_timestamp()
     )
     details = seeding_details(written, SOURCE)
@@ -93,7 +119,8 @@ def review_annotations(
     reviewed = spark.read.parquet(f"{out}/reviewed")
     write_json(reports.review_report(reviewed), f"{out}/report", keep_nulls=True, mode=mode)
     write_json(reports.quick_stats(reviewed), f"{out}/stats", keep_nulls=True, mode=mode)
-    write_corrections(review.correction_records(reviewed), f"{out}/corrections", mode=mode)
+    corrections = review.correction_records(reviewed, settle=False)
+    write_corrections(corrections, f"{out}/corrections", mode=mode)
     return reviewed
 
 

@@ -93,7 +93,7 @@ def test_residual_scan_reads_the_raw_text(spark):
 
 def test_seeding_totals_and_details(seeded):
     tagged = seeded.withColumn("file", F.when(F.col("id") < 100, "a").otherwise("b"))
-    totals = {r["file"]: r for r in seed.seeding_totals(tagged, "id", "file").collect()}
+    totals = {r["file"]: r for r in seed.seeding_totals(tagged, "file", conversation="id").collect()}
     assert (totals["a"]["messages"], totals["a"]["messages_seeded"]) == (100, 80)
     assert totals["b"]["percent_seeded"] == pytest.approx(80.0)
     details = seed.seeding_details(tagged, "file").collect()
@@ -101,7 +101,7 @@ def test_seeding_totals_and_details(seeded):
     for (file, category) in distinct:
         n = sum(r["file"] == file and r["category"] == category for r in details)
         assert totals[file][f"distinct_{category}"] == n
-    none = seed.seeding_totals(tagged.where("has_photo"), "id", "file").first()
+    none = seed.seeding_totals(tagged.where("has_photo"), "file", conversation="id").first()
     assert none["messages_seeded"] == 0 and none["distinct_names"] == 0
 
 

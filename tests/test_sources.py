@@ -81,14 +81,37 @@ def test_redact_corpus_job(spark, folder, tmp_path):
     assert (record["files_processed"], record["conversations"], record["status"]) == (2, 4, "completed")
 
 
-def test_seed_corpus_job(spark, folder, tmp_path):
-    totals, details = jobs.seed_corpus(spark, str(folder), str(tmp_path / "seeded"))
-    assert {r["messages"] for r in totals.collect()} == {6, 3}
-    messages = read_lines(spark, tmp_path / "seeded" / "messages")
-    assert len(messages) == 9
-    assert all(m["text"] == "" for m in messages if m.get("has_photo"))
-    seeded = sum("_test_pii_added" in m for m in messages)
-    assert seeded == sum(r["messages_seeded"] for r in totals.collect())
+def test_seeded_corpus_goes_on_to_redaction(spark, folder, tmp_path):
+    many = [conversation(i, topic="t") for i in range(40)]
+    (folder / "big.json").write_text(json.dumps(many, ensure_ascii=False), encoding="utf-8")
+    out = str(tmp_path / "seeded")
+    totals, details = jobs.seed_corpus(spark, str(folder), out)
+    got = {r["source_file"].rsplit("/", 1)[1]: r for r in totals.collect()}
+    assert (got["many.json"]["conversations"], got["many.json"]["messages"]) == (3, 6)
+    assert (got["one.json"]["conversations"], got["one.json"]["messages"]) == (1, 3)
+    assert got["big.json"]["messages"] == 120 and got["big.json"]["messages_seeded"] > 5
+    lines = read_lines(spark, f"{out}/conversations")
+    assert len(lines) == 44
+    messages = [m for c in lines for m in c.get("messages", [])]
+    assert len(messages) == 129 and {m.get("mood") for m in messages} == {"ok", None}
+    seeded = [m for m in messages if "_test_pii_added" in m]
+    assert len(seeded) == sum(r["messages_seeded"] for r in got.values())
+    assert not any(m.get("has_photo") for m in seeded)
+    for c in lines:
+        ids = [m["message_id"] for m in c.get("messages", [])]
+        assert ids == sorted(ids)
+    summary = jobs.redact_corpus(
+        spark, f"{out}/conversations", str(tmp_path / "clean"), multi_line=False
+    ).collect()
+    assert sum(r["email_removed"] for r in summary) > 43  # the corpus has one each, seeds add some
+    clean = read_lines(spark, tmp_path / "clean" / "conversations")
+    assert not any("_test_pii_added" in m for c in clean for m in c.get("messages", []))
+
+
+def test_corpus_whose_arrays_are_all_empty(spark, tmp_path):
+    (tmp_path / "e.json").write_text('[{"conversation_id": "a", "messages": []}]')
+    summary = jobs.redact_corpus(spark, str(tmp_path / "e.json"), str(tmp_path / "out")).collect()
+    assert [r["total_removed"] for r in summary] == [0]
 
 
 def test_review_job(spark, tiny, tmp_path):
