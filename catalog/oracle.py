@@ -13,6 +13,7 @@ from hushmark.rules.pii import AUDIT_NAMES, NAME_BANK, TOKENS
 
 ORACLE: dict[str, str] = {}
 
+# The six redaction patterns as stated, in RE2's (and CPython's) dialect.
 _BANK = "|".join(NAME_BANK)
 PATTERNS = {
     "name": rf"\b(?:{_BANK})\s+(?:{_BANK})\b",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import add, or_
 
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hushmark.functions import blank
+from hushmark.functions import blank, text_array
 from hushmark.rules.pii import COUNTED, DEFAULT_TOKEN, PII_RULES, TOKENS, PiiRule
 
 TEST_COLUMN = "_test_pii_added"
@@ -118,6 +118,11 @@ def redact_entities(
     )
 
 
+def listed_entities(text: str, names: Iterable[str]) -> Column:
+    """Those of a fixed list of names that occur in the text: an array for ``redact_entities``."""
+    return F.filter(text_array(names), lambda name: F.contains(F.col(text), name))
+
+
 def attach_entities(
     messages: DataFrame, found: DataFrame, key: str, entity: str = "entity"
 ) -> DataFrame:

@@ -56,7 +56,7 @@ STATUS_EDGES = {
 # The edge that the guidelines allow only after a significant gap.
 GAP_EDGES = (("CLOSING", "ICE_BREAKER"),)
 
-# Conflict rules: code -> {dimension: labels}; a row conflicts when every dimension matches.
+# Conflict rules, code -> {dimension: labels}; a row conflicts when every dimension matches.
 CONFLICT_RULES = {
     "negative_feedback_low_safety": {
         "primary_intent": ("NEGATIVE_FEEDBACK",),

@@ -14,7 +14,7 @@ RESPONSE_TOO_LONG = "response_too_long"
 TOO_MANY_EMOJI = "too_many_emoji"
 TOO_MANY_QUESTIONS = "too_many_questions"
 
-# code -> {dimension: labels}
+# Contradicting labels, code -> {dimension: labels}
 CONSISTENCY_RULES = {
     "inconsistent:negative_feedback_friendly": {
         "primary_intent": ("NEGATIVE_FEEDBACK",),

@@ -184,6 +184,14 @@ def test_attached_mentions(spark):
     assert rows["a"]["n_name"] == 3 and rows["b"]["n_name"] == 0
 
 
+def test_fixed_list_of_names(spark):
+    df = spark.createDataFrame([("Bo Li and Bo", ), ("bo",), (None,)], "text string")
+    done = df.withColumn("found", redact.listed_entities("text", ["Bo", "Bo Li", "Cy"]))
+    rows = redact.redact_entities(done, "found").collect()
+    assert [r["text"] for r in rows] == ["[NAME_REMOVED] and [NAME_REMOVED]", "bo", None]
+    assert [r["n_entities"] for r in rows] == [2, 0, 0]
+
+
 def nested(spark):
     return spark.createDataFrame(
         [
