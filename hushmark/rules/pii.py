@@ -94,8 +94,16 @@ def name_pattern(bank: Iterable[str] = NAME_BANK) -> str:
 
 
 def email_pattern() -> str:
-    local, domain, top = r"[A-Za-z0-9._%+-]++", r"[A-Za-z0-9.-]+", r"[A-Z|a-z]{2,}"
-    return FLAGS + EDGE + local + "@" + domain + r"\." + top + EDGE
+    """Local part, at sign, domain, and a top level of at least two letters or bars.
+
+    A run of local characters leads to the same at sign from wherever it is entered, so
+    in a long run only its first word edge is worth a try (or the end of the last match).
+    Without that, a long dotted or percent-encoded run is read again from every edge.
+    """
+    local, domain, top = "[A-Za-z0-9._%+-]", "[A-Za-z0-9.-]+", "[A-Z|a-z]{2,}"
+    ends_soon = f"(?={local}{{1,64}}+(?!{local}))"
+    first_edge = rf"(?={local})(?>(?<!{local})|{ends_soon}|\G|(?<!{EDGE}{local}{{1,64}}))"
+    return FLAGS + EDGE + first_edge + local + "++@" + domain + r"\." + top + EDGE
 
 
 def phone_pattern(prefixes: Iterable[str] = PHONE_PREFIXES) -> str:

@@ -129,11 +129,25 @@ def test_empty_and_missing_text_stay_with_their_truth(spark):
 
 
 def test_long_runs_stay_linear(spark):
-    texts = ["5" + " " * 60_000 + "x", "Tel:" + " " * 60_000 + "¡", "a." * 30_000, "9" * 60_000]
+    texts = [
+        "5" + " " * 60_000 + "x", "Tel:" + " " * 60_000 + "¡", "a." * 300_000 + " @",
+        "%20" * 200_000 + " @", "9" * 60_000, "7 " + "a " * 300_000,
+    ]
     rows = run(spark, texts)
     assert [r["text"] for r in rows][2:] == texts[2:]
 
 
+def test_dense_emails_agree_with_cpython(spark):
+    rng = random.Random(2)
+    alphabet = ["a", "B", "7", ".", "_", "%", "+", "-", "@", "@", "|", "ñ", " ", "co", ".co", "\u0301"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(4, 40))) for _ in range(20_000)]
+    texts += ["a@b.co.x@y.zz", "x" * 70 + ".y" * 40 + "@z.org", "-" * 70 + "a" * 70 + "@b.co"]
+    for text, row in zip(texts, run(spark, texts)):
+        expected, counts = model(text)
+        assert row["text"] == expected, repr(text)
+        assert row["n_email"] == counts["email"], repr(text)
+
+
 def test_selected_categories(spark):
     assert [r.category for r in select_rules(["phones", "emails", "names", "addresses"])] == [
         "name", "email", "phone", "address",
