@@ -45,7 +45,7 @@ def load(spark: SparkSession, folder: str, name: str, *key: str) -> DataFrame:
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     if key and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, *key)
+        df = df.repartition(3 * cores, *key)  # a few tasks a core even out long texts
     return df
 
 
