@@ -239,7 +239,7 @@ def conversation_length_filter(spark, folder):
 @query
 def conversation_length_filter_nested(spark, folder):
     kept = messages.nested_within_length(_nested(spark, folder))
-    return kept.select("conv_id", F.size("messages").alias("n_messages"))
+    return kept.select("conv_id", F.array_size("messages").alias("n_messages"))
 
 
 @query
@@ -250,7 +250,7 @@ def label_tool_tasks(spark, folder):
     return tasks.select(
         F.col("data.conversation_id").alias("conversation_id"),
         F.col("meta.part").alias("part"),
-        F.size("data.messages").alias("n_messages"),
+        F.array_size("data.messages").alias("n_messages"),
         F.array_join(F.transform(first, lambda m: m["role"]), "|").alias("first_roles"),
     )
 
@@ -487,7 +487,7 @@ def response_quality(spark, folder):
 @query
 def annotation_consistency(spark, folder):
     rows = review.with_consistency(derive.annotations(spark, folder))
-    flagged = rows.where(F.size("reasons") > 0)
+    flagged = rows.where(F.array_size("reasons") > 0)
     return flagged.select("message_id", review.reason_codes().alias("codes"))
 
 

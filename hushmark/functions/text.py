@@ -45,7 +45,7 @@ def guess_language(text: Column) -> Column:
 
 def sentence_count(text: Column) -> Column:
     """Pieces between sentence marks; an empty last piece counts, as in ``A. B.`` -> 3."""
-    return F.size(F.split(text, review.SENTENCE_BREAK, -1))
+    return F.array_size(F.split(text, review.SENTENCE_BREAK, -1))
 
 
 def emoji_count(text: Column) -> Column:

@@ -44,18 +44,18 @@ def residuals(
 def residual_details(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     """Only the messages where something was found, without their text."""
     arrays = ("emails", "phones", "socials", "names")
-    hit = reduce(or_, [F.size(a) > 0 for a in arrays])
+    hit = reduce(or_, [F.array_size(a) > 0 for a in arrays])
     return residuals(df, text).where(hit).select(*keep, *arrays)
 
 
 def residual_summary(df: DataFrame, *by: str, text: str = "text") -> DataFrame:
     """Messages with anything left, and how much per kind, per group."""
     arrays = ("emails", "phones", "socials", "names")
-    hit = reduce(or_, [F.size(a) > 0 for a in arrays])
+    hit = reduce(or_, [F.array_size(a) > 0 for a in arrays])
     return residuals(df, text).groupBy(*by).agg(
         F.count(F.lit(1)).alias("messages"),
         F.count_if(hit).alias("messages_with_pii"),
-        *[F.coalesce(F.sum(F.size(a)), F.lit(0)).alias(a) for a in arrays],
+        *[F.coalesce(F.sum(F.array_size(a)), F.lit(0)).alias(a) for a in arrays],
     )
 
 

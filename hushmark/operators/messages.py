@@ -76,7 +76,7 @@ def nested_within_length(
     messages: str = "messages",
 ) -> DataFrame:
     """The same test on nested conversations: a plain filter."""
-    return conversations.where(F.size(messages).between(low, high))
+    return conversations.where(F.array_size(messages).between(low, high))
 
 
 def first_samples(messages: Column | str, n: int = 2) -> Column:

@@ -55,11 +55,11 @@ def members(df: DataFrame, json: str, *keep: str) -> DataFrame:
         rows, F.when(F.col("kind") == "array", _elements(F.col("value"))).alias("_items")
     )
     first = F.try_element_at("_items", F.lit(1))
-    inner = F.when(F.col("kind") == "object", F.col("value")).when(F.size("_items") > 0, first)
+    inner = F.when(F.col("kind") == "object", F.col("value")).when(F.array_size("_items") > 0, first)
     return rows.select(
         *keep, "key", "value", "kind",
-        F.size("_items").alias("length"),
-        F.when(F.size("_items") > 0, kind(first)).alias("first_kind"),
+        F.array_size("_items").alias("length"),
+        F.when(F.array_size("_items") > 0, kind(first)).alias("first_kind"),
         F.map_keys(_members(inner)).alias("inner_keys"),
     )
 

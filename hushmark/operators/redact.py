@@ -109,7 +109,7 @@ def redact_entities(
         lambda acc, name: F.when(name == "", acc).otherwise(F.replace(acc, name, token)),
     )
     present = F.col(entities).isNotNull() & ~blank(F.col(text))
-    seen = F.size(entities) if mentions is None else F.col(mentions)
+    seen = F.array_size(entities) if mentions is None else F.col(mentions)
     return df.withColumns(
         {
             count: F.when(present, seen).otherwise(0).cast("int"),

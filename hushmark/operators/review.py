@@ -89,7 +89,7 @@ def review(df: DataFrame, response: str = "response") -> DataFrame:
         _reason(F.col("primary_intent").isin(*rules.SENSITIVE_INTENTS), rules.SENSITIVE_INTENT),
     ]
     reasons = F.array_compact(F.array(*found)).alias("reasons")
-    return evaluate_once(df, reasons).withColumn("n_reasons", F.size("reasons"))
+    return evaluate_once(df, reasons).withColumn("n_reasons", F.array_size("reasons"))
 
 
 def candidates(reviewed: DataFrame) -> DataFrame:
