@@ -29,7 +29,7 @@ def state_pairs(
     group: str,
     state: str,
     order: Sequence[str],
-    chunk: Column,
+    chunk: Column | None,
     with_next_order: bool = False,
 ) -> DataFrame:
     """Consecutive states: the row, ``position`` and ``next_<state>``.
@@ -46,7 +46,7 @@ def invalid_transitions(
     group: str,
     state: str,
     order: Sequence[str],
-    chunk: Column,
+    chunk: Column | None,
     edges: Mapping[str, Iterable[str]] = rules.STAGE_EDGES,
     allow_self: bool = False,
     gap: tuple[Iterable[tuple[str, str]], Column] | None = None,

@@ -35,7 +35,7 @@ def _rows(
 
 
 def label_report(
-    df: DataFrame, group: str, order: Sequence[str], chunk: Column, first: int = 5
+    df: DataFrame, group: str, order: Sequence[str], chunk: Column | None, first: int = 5
 ) -> DataFrame:
     """Distributions, conflict counts, and where stages exist the invalid transitions."""
     shares = labels.distribution(df)

@@ -52,7 +52,7 @@ def test_row_numbers_over_the_whole_table(frame, rows):
     assert [r["position"] for r in in_order] == list(range(len(in_order)))
 
 
-@pytest.mark.parametrize("size", [1, 10, 10_000])
+@pytest.mark.parametrize("size", [1, 10, 10_000, None])
 @pytest.mark.parametrize("allow_self", [False, True])
 @pytest.mark.parametrize("edges", [STAGE_EDGES, GUIDELINE_STAGE_EDGES])
 def test_invalid_transitions(frame, rows, size, allow_self, edges):
@@ -62,9 +62,8 @@ def test_invalid_transitions(frame, rows, size, allow_self, edges):
             fine = b[2] in edges.get(a[2], ()) or (allow_self and a[2] is not None and a[2] == b[2])
             if not fine:
                 want.add((conversation, i, f"{a[2] or '<null>'} → {b[2] or '<null>'}"))
-    found = invalid_transitions(
-        frame, "conv", "stage", ["turn"], ordered.chunk_by_position("turn", size), edges, allow_self
-    )
+    chunk = None if size is None else ordered.chunk_by_position("turn", size)
+    found = invalid_transitions(frame, "conv", "stage", ["turn"], chunk, edges, allow_self)
     assert {tuple(r) for r in found.collect()} == want
     assert [tuple(r) for r in first_transitions(found, "conv").collect()] == sorted(want)[:5]
 
