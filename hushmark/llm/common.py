@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -61,6 +62,23 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{made}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the library's code to the executors' Python workers, once in a Spark application."""
+    context = spark.sparkContext
+    if getattr(context, "_hushmark_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="hushmark-code-")), "hushmark.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._hushmark_shipped = True
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts lineage, survives lost executors.
 
@@ -94,6 +112,7 @@ def per_batch(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    ship(df.sparkSession)
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from hushmark.llm import decontamination
+from hushmark.llm import decontamination, language_id, packing, simhash, token_counts
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
+    "op4_language_id": language_id.op4_language_id,
+    "op5_token_counts": token_counts.op5_token_counts,
+    "op6_simhash": simhash.op6_simhash,
+    "op9_packing": packing.op9_packing,
 }
 
 SQL = {
