@@ -175,6 +175,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     return report(index, phrase_matches(index, items, window))
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without any match, all columns unchanged."""
+    index = build_index(docs.select("doc_id", "text"), item_words(items))
+    found = written(phrase_matches(index, items, window).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_copy"))
+    return docs.join(broadcast_if_small(found), same, "left_anti")
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("copy")
 

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushmark.llm.common import per_batch, table, written
+from hushmark.llm.common import broadcast_if_small, per_batch, table, written
 
 SHINGLE = 3
 SEED = 42
@@ -155,5 +155,22 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = 2, marks:
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component stays, that with the smallest id (of equal ids, the smallest text hash).
+
+    All columns stay as they are. The rows that go are told by id and text hash, so null and repeated
+    ids do no harm; of rows that are alike in both, one stays.
+    """
+    keyed = docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("copy")).alias("doc_id"), "text")
+    found = written(near_duplicates(keyed).select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("first")), "components")
+    states = found.groupBy("doc_id").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("n"))
+    odd = written(states.where("not first or n > 1").select(F.col("doc_id.id").alias("_id"), F.col("doc_id.copy").alias("_copy"), "first"), "not-single")
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_copy"))
+    single = docs.join(broadcast_if_small(odd), same, "left_anti")
+    again = docs.join(broadcast_if_small(odd.where("first")), same, "left_semi")
+    once = again.withColumn("_copy", F.xxhash64("text")).dropDuplicates(["doc_id", "_copy"]).drop("_copy")
+    return single.unionAll(once.select(*docs.columns))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
