@@ -143,6 +143,7 @@ def rules() -> list[Rule]:
     for label, *names in NAMES:
         for name in names:
             for one in name.split("|") if " " not in name else [name]:
-                for priority, score, frame in FRAMES:
+                bare = [(1, 0.75, "{}")] if LICENSE in one else []  # says that it is a licence by itself
+                for priority, score, frame in [*FRAMES, *bare]:
                     found.append((label, priority, score, keyword(one) or keyword(frame), frame.format(one)))
     return [Rule(i, label, p, s, k, pattern(w)) for i, (label, p, s, k, w) in enumerate(found)]
