@@ -6,7 +6,6 @@ the shortcuts that the Spark side takes, so that the two can disagree.
 
 from __future__ import annotations
 
-from catalog.queries import LEAD_KINDS
 from hushmark.plans import derive
 from hushmark.rules import guidelines, labels, review, seeding
 from hushmark.rules.pii import AUDIT_NAMES, NAME_BANK, TOKENS
@@ -118,9 +117,9 @@ pairs AS ({' UNION ALL '.join(
     f"{d}_2 AS label2 FROM wide WHERE {d}_1 IS NOT NULL AND {d}_2 IS NOT NULL" for d in DIMS)})"""
 
 _PHRASE = pick(derive.PHRASES, draw(len(derive.PHRASES), "phrase", *K))
-UTT = f"""utt AS (SELECT * REPLACE (
+UTT = f"""utt AS (SELECT * FROM msg UNION ALL SELECT * REPLACE (
   CASE WHEN {draw(2, 'alone', *K)} = 0 THEN {_PHRASE}
-  ELSE concat_ws(' ', text, {_PHRASE}) END AS text) FROM msg)"""
+  ELSE concat_ws(' ', text, {_PHRASE}) END AS text, message_id || ':more' AS message_id) FROM msg)"""
 
 _INDICATORS = " + ".join(
     f"CAST(contains(lower(text), '{w}') AS INTEGER)" for w in seeding.SPANISH_INDICATORS
@@ -343,8 +342,7 @@ ORACLE["structure_rows_changed"] = with_(
 # --- corpus shape --------------------------------------------------------------------
 
 ORACLE["flatten_messages"] = with_(MSG) + (
-    "SELECT conv_id, CAST(turn // 10000 AS INTEGER) AS part, "
-    "CAST(row_number() OVER (PARTITION BY conv_id, turn // 10000 ORDER BY turn) - 1 AS INTEGER) AS pos, "
+    "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, "
     "message_id, role FROM msg WHERE text <> ''"
 )
 _LENGTHS = "WHERE conv_id IN (SELECT conv_id FROM msg GROUP BY 1 HAVING count(*) BETWEEN 3 AND 50)"
@@ -352,12 +350,11 @@ ORACLE["conversation_length_filter"] = (
     with_(MSG) + f"SELECT conv_id, turn, message_id FROM msg {_LENGTHS}"
 )
 ORACLE["conversation_length_filter_nested"] = with_(MSG) + (
-    f"SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages FROM msg {_LENGTHS} GROUP BY 1"
+    f"SELECT conv_id, count(*) AS n_messages FROM msg {_LENGTHS} GROUP BY 1"
 )
 ORACLE["label_tool_tasks"] = with_(MSG) + (
-    "SELECT conv_id AS conversation_id, CAST(turn // 10000 AS INTEGER) AS part, "
-    "CAST(count(*) AS INTEGER) AS n_messages, "
-    "array_to_string(list(role ORDER BY turn)[1:2], '|') AS first_roles FROM msg GROUP BY 1, 2"
+    "SELECT conv_id AS conversation_id, count(*) AS n_messages, "
+    "array_to_string(list(role ORDER BY turn)[1:2], '|') AS first_roles FROM msg GROUP BY 1"
 )
 ORACLE["run_record"] = (
     "SELECT '1.0' AS version, 'completed' AS status, count(DISTINCT source) AS files_processed, "
@@ -535,16 +532,18 @@ BANK = """bank AS (SELECT s.session, message_id AS id,
   row_number() OVER (PARTITION BY s.session ORDER BY md5('bank|' || message_id), message_id) - 1 AS position
   FROM msg, (VALUES ('day1'), ('day2')) s(session))"""
 ORACLE["calibration_sessions"] = with_(MSG, BANK) + "SELECT session, position, id FROM bank"
-ORACLE["session_fingerprint"] = with_(MSG) + (
-    "SELECT conv_id AS session, count(*) AS items, "
-    "md5(string_agg(message_id, '' ORDER BY turn)) AS fingerprint FROM msg GROUP BY 1"
+_WORDS = ", ".join(
+    f"CAST(sum(CAST('0x' || substr(md5(position || '|' || id), {8 * k + 1}, 8) AS BIGINT)) AS VARCHAR)"
+    for k in range(4)
+)
+_FINGERPRINT = (
+    f"SELECT session, count(*) AS items, md5(concat_ws(':', CAST(count(*) AS VARCHAR), {_WORDS})) AS fingerprint "
 )
-ORACLE["bank_fingerprint"] = with_(MSG, BANK, """
-  runs AS (SELECT session, position // 1000 AS run, count(*) AS n,
-    md5(string_agg(id, '' ORDER BY position)) AS digest FROM bank GROUP BY 1, 2)""") + (
-    "SELECT session, CAST(sum(n) AS BIGINT) AS items, CASE WHEN count(*) = 1 THEN min(digest) "
-    "ELSE md5(string_agg(digest, '' ORDER BY run)) END AS fingerprint FROM runs GROUP BY 1"
+ORACLE["session_fingerprint"] = with_(MSG) + (
+    _FINGERPRINT
+    + "FROM (SELECT conv_id AS session, turn AS position, message_id AS id FROM msg) GROUP BY session"
 )
+ORACLE["bank_fingerprint"] = with_(MSG, BANK) + _FINGERPRINT + "FROM bank GROUP BY session"
 KAPPA = """cells AS (SELECT dimension, annotator1, annotator2, label1, label2, count(*) AS n
   FROM pairs GROUP BY ALL),
 totals AS (SELECT dimension, annotator1, annotator2, CAST(sum(n) AS BIGINT) AS samples,
@@ -727,7 +726,7 @@ ORACLE["repeated_greetings"] = with_(
     MSG, UTT, f"greet AS (SELECT * FROM utt WHERE regexp_matches(text, {text(_OPENING)}, 'i'))"
 ) + (
     "SELECT message_id, 'SMALL_TALK' AS suggested FROM greet g "
-    "WHERE EXISTS (SELECT 1 FROM greet e WHERE e.conv_id = g.conv_id AND e.turn < g.turn)"
+    "WHERE EXISTS (SELECT 1 FROM greet e WHERE e.conv_id = g.conv_id AND (e.turn, e.message_id) < (g.turn, g.message_id))"
 )
 ORACLE["safety_escalation"] = with_(
     MSG, ANN, "flirt AS (SELECT * FROM ann WHERE safety_level = 'LEVEL_1_FLIRT_SAFE')"
@@ -742,13 +741,13 @@ ATTRIBUTES = "attrs AS (SELECT user_id, " + ", ".join(
 ORACLE["user_attributes"] = with_(HISTORY, ATTRIBUTES) + (
     "SELECT user_id, user_country, user_occupation, customer_status FROM attrs"
 )
-_OFFER = f"({among('event_type', LEAD_KINDS['offer'])})"
+_OFFER = "event_type IN ('view', 'click')"
 ACTIVITY = f"""act AS (SELECT user_id, count(*) AS interactions, count(*) FILTER ({_OFFER}) AS offers,
-  count(*) FILTER ({among('event_type', LEAD_KINDS['positive'])}) AS positive_answers,
-  count(*) FILTER ({among('event_type', LEAD_KINDS['rejection'])}) AS soft_rejections,
+  count(*) FILTER (event_type = 'purchase') AS positive_answers,
+  count(*) FILTER (event_type = 'error') AS soft_rejections,
   CAST(date_diff('day', CAST(max(ts) FILTER ({_OFFER}) AS DATE), CAST(max(ts) AS DATE)) AS INTEGER)
     AS days_since_offer
-  FROM events WHERE event_type <> 'purchase' OR {draw(40, 'answer', 'event_id')} = 0 GROUP BY user_id),
+  FROM events GROUP BY user_id),
 activity AS (SELECT act.*, customer_status AS status FROM act JOIN attrs USING (user_id))"""
 ORACLE["lead_activity"] = with_(HISTORY, ATTRIBUTES, ACTIVITY) + "SELECT * FROM activity"
 ORACLE["exhausted_leads"] = with_(HISTORY, ATTRIBUTES, ACTIVITY) + (

@@ -178,7 +178,10 @@ def pii_residual_details(spark, folder):
 
 
 def _damaged(spark, folder):
-    """The redacted corpus with some roles changed and some messages lost."""
+    """The redacted corpus with some roles changed and some messages lost.
+
+    The original table is whole; without a second one that differs there were nothing to find.
+    """
     done = redact.redact_messages(derive.seeded(spark, folder))
     kept = done.where(draw(50, "lost", *derive.KEYS) > 0)
     role = F.when(draw(50, "role", *derive.KEYS) == 0, "unknown").otherwise(F.col("role"))
@@ -227,19 +230,19 @@ def _nested(spark, folder):
 @query
 def flatten_messages(spark, folder):
     flat = messages.with_text(messages.flatten(_nested(spark, folder)), "message.text")
-    return flat.select("conv_id", "part", "pos", "message.message_id", "message.role")
+    return flat.select("conv_id", "pos", "message.message_id", "message.role")
 
 
 @query
 def conversation_length_filter(spark, folder):
-    kept = messages.within_length(derive.messages(spark, folder), "conv_id", ORDER)
+    kept = messages.within_length(derive.messages(spark, folder), "conv_id")
     return kept.select("conv_id", "turn", "message_id")
 
 
 @query
 def conversation_length_filter_nested(spark, folder):
     kept = messages.nested_within_length(_nested(spark, folder))
-    return kept.select("conv_id", F.array_size("messages").alias("n_messages"))
+    return kept.where("part = 0").select("conv_id", "n_messages")
 
 
 @query
@@ -247,10 +250,9 @@ def label_tool_tasks(spark, folder):
     nested = _nested(spark, folder).withColumnRenamed("conv_id", "conversation_id")
     tasks = corpus.label_tasks(nested)
     first = messages.first_samples("data.messages")
-    return tasks.select(
+    return tasks.where("meta.part = 0").select(
         F.col("data.conversation_id").alias("conversation_id"),
-        F.col("meta.part").alias("part"),
-        F.array_size("data.messages").alias("n_messages"),
+        F.col("meta.n_messages").alias("n_messages"),
         F.array_join(F.transform(first, lambda m: m["role"]), "|").alias("first_roles"),
     )
 
@@ -470,12 +472,12 @@ def confusion_matrix(spark, folder):
 
 
 def _reviewed(spark, folder):
-    return review.review(derive.annotations(spark, folder, spread=True))
+    return review.review(derive.annotations(spark, folder))
 
 
 @query
 def response_quality(spark, folder):
-    rows = review.with_response_quality(derive.annotations(spark, folder, spread=True))
+    rows = review.with_response_quality(derive.annotations(spark, folder))
     details = F.col("reasons.detail")
     return rows.select(
         "message_id",
@@ -545,14 +547,14 @@ def recommendations(spark, folder):
 @query
 def quick_stats(spark, folder):
     return reports.quick_stats(_reviewed(spark, folder)).select(
-        "section", "item", F.round("value", 9).alias("value")
+        "section", "item", F.round("value", 9).alias("value"), "text"
     )
 
 
 @query
 def review_report(spark, folder):
     return reports.review_report(_reviewed(spark, folder)).select(
-        "section", "item", F.round("value", 9).alias("value")
+        "section", "item", F.round("value", 9).alias("value"), "text"
     )
 
 
@@ -600,17 +602,15 @@ def safety_escalation(spark, folder):
     return rows.select("message_id", "recent")
 
 
-LEAD_KINDS = {"offer": ["view"], "positive": ["purchase"], "rejection": ["error"]}
+# what stands for offers and answers in the event types of the given table
+LEAD_KINDS = {"offer": ["view", "click"], "positive": ["purchase"], "rejection": ["error"]}
 
 
 def _activity(spark, folder):
     status = guidelines.user_attributes(
         derive.user_history(spark, folder), ["customer_status"]
     ).withColumnRenamed("customer_status", "status")
-    # a purchase early in the stream is no answer to an offer
-    events = derive.events(spark, folder).where(
-        (F.col("event_type") != "purchase") | (draw(40, "answer", "event_id") == 0)
-    )
+    events = derive.events(spark, folder)
     return guidelines.lead_activity(events, kinds=LEAD_KINDS).join(status, "user_id")
 
 

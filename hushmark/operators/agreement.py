@@ -273,28 +273,19 @@ def calibration_sessions(
 
 
 def order_fingerprint(
-    items: DataFrame, group: str = "session", position: str = "position", item: str = "id",
-    width: int = 1_000,
+    items: DataFrame, group: str = "session", position: str = "position", item: str = "id"
 ) -> DataFrame:
-    """md5 over the ids of a session in order.
+    """Digest of the ids of a session in their order, by one definition at every size.
 
-    ``position`` is dense from 0.  Up to ``width`` items the result is the md5 of the
-    joined ids.  A longer session hashes runs of ``width`` ids and then the run
-    digests, level by level, so no task gathers more than ``width`` values.  Three
-    levels cover ``width ** 3`` items.
+    Each ``position|id`` is hashed by md5. The four 32-bit words of the hashes are summed over the
+    session, and the md5 of the number of items and the four sums, joined by colons, is the
+    fingerprint. Sums combine before the shuffle, so no task gathers a session. A missing id counts as
+    an empty one.
     """
-    level = items.select(
-        group, F.col(position).cast("bigint").alias("_at"), F.col(item).cast("string").alias("_text")
+    place = F.md5(F.concat_ws("|", F.col(position).cast("string"), F.coalesce(F.col(item).cast("string"), F.lit(""))))
+    words = [F.conv(F.substring("_place", 8 * k + 1, 8), 16, 10).cast("decimal(20,0)") for k in range(4)]
+    sums = items.withColumn("_place", place).groupBy(group).agg(
+        F.count(F.lit(1)).alias("items"), *[F.sum(w).alias(f"_w{k}") for k, w in enumerate(words)]
     )
-    for depth in range(3):
-        run = F.floor(F.col("_at") / width)
-        joined = F.concat_ws(
-            "", F.transform(F.array_sort(F.collect_list(F.struct("_at", "_text"))), lambda x: x["_text"])
-        )
-        digest = F.md5(joined)
-        if depth:  # a single digest is the result already
-            digest = F.when(F.max("_at") == 0, F.first("_text")).otherwise(digest)
-        level = level.groupBy(group, run.alias("_at")).agg(
-            digest.alias("_text"), (F.count(F.lit(1)) if not depth else F.sum("_items")).alias("_items")
-        )
-    return level.select(group, F.col("_items").alias("items"), F.col("_text").alias("fingerprint"))
+    parts = [F.col(c).cast("string") for c in ("items", "_w0", "_w1", "_w2", "_w3")]
+    return sums.select(group, "items", F.md5(F.concat_ws(":", *parts)).alias("fingerprint"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,12 +13,17 @@ from hushmark.rules import guidelines
 
 
 def flatten(conversations: DataFrame, messages: str = "messages") -> DataFrame:
-    """One row per message with its 0-based ``pos``.
+    """One row per message with its 0-based ``pos`` in the whole conversation.
 
-    Conversations without messages stay as one row with a null ``message``.
+    Conversations without messages stay as one row with a null ``message``.  On the rows
+    of ``nest`` the positions run on from part to part.
     """
-    others = [c for c in conversations.columns if c != messages]
-    return conversations.select(*others, F.posexplode_outer(messages).alias("pos", "message"))
+    others = [c for c in conversations.columns if c not in (messages, "pos_offset")]
+    first = F.col("pos_offset") if "pos_offset" in conversations.columns else F.lit(0)
+    flat = conversations.select(
+        *others, first.alias("_first"), F.posexplode_outer(messages).alias("pos", "message")
+    )
+    return flat.withColumn("pos", F.col("pos").cast("bigint") + F.col("_first")).drop("_first")
 
 
 def nest(
@@ -28,14 +36,28 @@ def nest(
     """Message rows back to conversations, at most ``part_size`` messages a row.
 
     ``order`` is the position in the conversation.  A longer conversation continues
-    in rows with ``part`` 1, 2, ..., so no task ever gathers a whole hot one.
+    in rows with ``part`` 1, 2, ..., so no task ever gathers a whole hot one.  Parts are
+    a layout and change no result: each row tells the conversation's ``n_messages`` and, as
+    ``pos_offset``, how many stand in earlier parts.  ``part = 0`` is there once for each.
     """
     part = F.floor(F.coalesce(F.col(order), F.lit(0)) / part_size).cast("int")
     slots = F.array_sort(F.collect_list(F.when(F.col(order).isNotNull(), F.struct(order, message))))
-    return (
-        messages.groupBy(*keys, part.alias("part"))
-        .agg(slots.alias("_slots"))
-        .select(*keys, "part", F.col(f"_slots.{message}").alias("messages"))
+    cut = messages.select(*keys, order, message, part.alias("part"))
+    parts = cut.groupBy(*keys, "part").agg(slots.alias("_slots"))
+    # one small row per part tells what stands around it
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy(*keys, "part").agg(F.count(order).alias("_n")).select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("part").alias("_part"),
+        F.sum("_n").over(whole).alias("n_messages"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("pos_offset"),
+    )
+    same = reduce(
+        and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], F.col("part") == F.col("_part")
+    )
+    return parts.join(sizes, same).select(
+        *keys, "part", "n_messages", "pos_offset", F.col(f"_slots.{message}").alias("messages")
     )
 
 
@@ -47,26 +69,20 @@ def with_text(messages: DataFrame, text: str = "text") -> DataFrame:
 def within_length(
     messages: DataFrame,
     key: str,
-    order: list[str],
     low: int = guidelines.MIN_MESSAGES,
     high: int = guidelines.MAX_MESSAGES,
 ) -> DataFrame:
     """Messages of conversations that have ``low`` to ``high`` messages.
 
-    Only the first ``high + 1`` rows of a conversation leave a task: that is enough
-    to see that it is too long, and a conversation that passes is never cut.  So a
-    conversation of any size costs at most ``high + 1`` rows per task.
+    Conversations are counted, which combines before the shuffle, and the messages of
+    those that pass are kept by a semi join.  Rows without a key drop out.
     """
-    ranked = Window.partitionBy(key).orderBy(*order)
-    whole = Window.partitionBy(key)
-    return (
-        messages.where(F.col(key).isNotNull())
-        .withColumn("_rank", F.row_number().over(ranked))
-        .where(F.col("_rank") <= high + 1)
-        .withColumn("_n", F.count(F.lit(1)).over(whole))
-        .where(F.col("_n").between(low, high))
-        .drop("_rank", "_n")
+    fitting = (
+        messages.groupBy(F.col(key).alias("_key"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_key").isNotNull() & F.col("_n").between(low, high))
     )
+    return messages.join(fitting, F.col(key) == F.col("_key"), "left_semi")
 
 
 def nested_within_length(
@@ -75,8 +91,13 @@ def nested_within_length(
     high: int = guidelines.MAX_MESSAGES,
     messages: str = "messages",
 ) -> DataFrame:
-    """The same test on nested conversations: a plain filter."""
-    return conversations.where(F.array_size(messages).between(low, high))
+    """The same test on nested conversations: a plain filter on the whole conversation's length."""
+    return conversations.where(n_messages(conversations, messages).between(low, high))
+
+
+def n_messages(conversations: DataFrame, messages: str = "messages") -> Column:
+    """Messages of the whole conversation, whichever part of it a row holds."""
+    return F.col("n_messages") if "n_messages" in conversations.columns else F.array_size(messages)
 
 
 def first_samples(messages: Column | str, n: int = 2) -> Column:

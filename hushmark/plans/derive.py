@@ -35,23 +35,24 @@ LINES = (
 )
 
 
+SPREAD = "hushmark.spread"
+
+
 def load(spark: SparkSession, folder: str, name: str, *key: str) -> DataFrame:
-    """A given table.
+    """A given table, read as it is: no shuffle.
 
-    A small table can come in fewer splits than there are cores; its rows are then
-    spread over the cores by key.  A large table has many splits and is read as it is:
-    no shuffle.
+    A file of one row group is one task, however many cores there are.  Who knows that the
+    tables come like that names a number of partitions in ``hushmark.spread``; rows are then
+    dealt out by key first.  Nothing about the data decides it.
     """
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if key and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(3 * cores, *key)  # a few tasks a core even out long texts
-    return df
+    parts = spark.conf.get(SPREAD, None)
+    return df.repartition(int(parts), *key) if parts and key else df
 
 
-def messages(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+def messages(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns with a text ``message_id`` that is unique at any size."""
-    df = load(spark, folder, "conversations", *(KEYS if spread else ()))
+    df = load(spark, folder, "conversations", *KEYS)
     return df.withColumn("message_id", F.concat_ws(":", "conv_id", "turn"))
 
 
@@ -60,16 +61,16 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def seeded(spark: SparkSession, folder: str) -> DataFrame:
-    return seed_messages(messages(spark, folder, spread=True), KEYS)
+    return seed_messages(messages(spark, folder), KEYS)
 
 
 def _label(values: tuple[str | None, ...], salt: str) -> Column:
     return pick(values, draw(len(values), salt, *KEYS))
 
 
-def annotations(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+def annotations(spark: SparkSession, folder: str) -> DataFrame:
     """One labelled row per message, with a response and a place on a timeline."""
-    return with_labels(messages(spark, folder, spread)).withColumn(
+    return with_labels(messages(spark, folder)).withColumn(
         "response", F.concat_ws(" ", "text", pick(SNIPPETS, draw(len(SNIPPETS), "snippet", *KEYS)))
     )
 
@@ -139,11 +140,13 @@ def annotator_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def utterances(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages whose text is, or ends in, one of a few telling phrases."""
+    """All messages, and for each one more that is, or ends in, one of a few telling phrases."""
+    given = messages(spark, folder)
     phrase = pick(PHRASES, draw(len(PHRASES), "phrase", *KEYS))
     alone = draw(2, "alone", *KEYS) == 0
     text = F.when(alone, phrase).otherwise(F.concat_ws(" ", "text", phrase))
-    return with_labels(messages(spark, folder)).withColumn("text", text)
+    added = given.withColumns({"text": text, "message_id": F.concat("message_id", F.lit(":more"))})
+    return with_labels(given.unionByName(added))
 
 
 def entity_mentions(spark: SparkSession, folder: str) -> DataFrame:

@@ -143,7 +143,7 @@ def prepare_corpus(
     redact_nested(kept, rules=rules, counts=True).write.mode(mode).parquet(f"{out}/redacted")
     written = spark.read.parquet(f"{out}/redacted")
     if config.label_tasks:
-        tasks = written.select("conversation_id", "messages", SOURCE)
+        tasks = written.select(*corpus.columns)
         write_label_tasks(tasks, f"{out}/tasks", config.include_metadata, mode)
     words = vocabulary(message_rows(written), n=config.vocabulary_limit)
     write_json(words, f"{out}/vocabulary", mode=mode)
@@ -155,10 +155,14 @@ def prepare_corpus(
 def run_record(
     conversations: DataFrame, version: str, source: str = SOURCE, stamp: bool = True
 ) -> DataFrame:
-    """One row about a finished run: files and conversations, and when."""
+    """One row about a finished run: files and conversations, and when.
+
+    On the rows of ``messages.nest`` a conversation is counted by its first part.
+    """
+    whole = F.count_if(F.col("part") == 0) if "part" in conversations.columns else F.count(F.lit(1))
     record = conversations.agg(
         F.count_distinct(source).alias("files_processed"),
-        F.count(F.lit(1)).alias("conversations"),
+        whole.alias("conversations"),
     ).select(
         F.lit(version).alias("version"),
         F.lit("completed").alias("status"),

@@ -124,9 +124,13 @@ def write_corrections(corrections: DataFrame, path: str, mode: str = "errorifexi
 
 
 def label_tasks(conversations: DataFrame, with_metadata: bool = True) -> DataFrame:
-    """One labelling task per conversation row: ``data`` and, if wanted, ``meta``."""
-    meta = [c for c in conversations.columns if c not in ("conversation_id", "messages")]
-    columns = [F.struct("conversation_id", "messages").alias("data")]
+    """One labelling task per conversation row: ``data`` and, if wanted, all other columns as ``meta``.
+
+    A corpus need not name its conversations.
+    """
+    data = [c for c in ("conversation_id", "messages") if c in conversations.columns]
+    meta = [c for c in conversations.columns if c not in data]
+    columns = [F.struct(*data).alias("data")]
     if with_metadata and meta:
         columns.append(F.struct(*meta).alias("meta"))
     return conversations.select(*columns)

@@ -71,15 +71,14 @@ def test_mixed_profiles(labelled):
 
 # --- sessions --------------------------------------------------------------------------
 
-DAY1 = {
-    "m1": ("TRANSACTIONAL_INQUIRY", "FRIENDLY", "LEVEL_0_SAFE"),
-    "m2": ("HESITATION_OR_OBJECTION", "ENGAGED", "LEVEL_0_SAFE"),
-    "m3": ("SMALL_TALK", "DISMISSIVE", "LEVEL_0_SAFE"),
-}
+# three messages on the first day; on the second, one intent and one tone come out
+# differently, and one message is new
+INTENTS, TONES, LEVELS = (rules.TAXONOMY[d] for d in ("primary_intent", "message_tone", "safety_level"))
+DAY1 = {f"q{i}": (INTENTS[i], TONES[i], LEVELS[i]) for i in range(3)}
 DAY2 = DAY1 | {
-    "m2": ("COMPLIMENT", "ENGAGED", "LEVEL_0_SAFE"),
-    "m3": ("SMALL_TALK", "SKEPTICAL", "LEVEL_0_SAFE"),
-    "m9": ("GREETING", "FRIENDLY", "LEVEL_0_SAFE"),
+    "q1": (INTENTS[5], TONES[1], LEVELS[1]),
+    "q2": (INTENTS[2], TONES[4], LEVELS[2]),
+    "q7": DAY1["q0"],
 }
 SCHEMA = (
     "session string, message_id string, primary_intent string, message_tone string, "
@@ -89,7 +88,7 @@ SCHEMA = (
 
 @pytest.fixture(scope="module")
 def records(spark):
-    rows = [("day1", "m2", "GREETING", "FRIENDLY", None, 1, 0)]  # replaced below
+    rows = [("day1", "q1", "GREETING", "FRIENDLY", None, 1, 0)]  # replaced below
     rows += [("day1", m, *v, 2, i) for i, (m, v) in enumerate(DAY1.items())]
     rows += [("day2", m, *v, 3, i) for i, (m, v) in enumerate(DAY2.items())]
     return spark.createDataFrame(rows, SCHEMA)
@@ -132,15 +131,15 @@ def test_latest_recording_replaces_the_whole_record(spark):
 
 def test_disagreements_find_the_first_control_text(records, spark):
     control = spark.createDataFrame(
-        [("m2", "second", 5), ("m2", "first", 1)], "id string, text string, ord int"
+        [("q1", "second", 5), ("q1", "first", 1)], "id string, text string, ord int"
     )
     rows = agreement.disagreements(records, "day1", "day2", control=control).collect()
     assert pairs_of(rows) == {
-        ("m2", "primary_intent", "HESITATION_OR_OBJECTION", "COMPLIMENT", "first"),
-        ("m3", "message_tone", "DISMISSIVE", "SKEPTICAL", None),
+        ("q1", "primary_intent", INTENTS[1], INTENTS[5], "first"),
+        ("q2", "message_tone", TONES[2], TONES[4], None),
     }
     assert pairs_of(agreement.shared_messages(records, "day1", "day2").collect()) == {
-        ("m1",), ("m2",), ("m3",),
+        ("q0",), ("q1",), ("q2",),
     }
 
 
@@ -151,27 +150,25 @@ def test_calibration_report(records):
     assert got[("summary", "verdict")] == (pytest.approx(7 / 9), "needs_refinement")
     assert got[("summary", "inconsistent_messages")][0] == 2
     assert got[("agreement", "safety_level")] == (1.0, "pass")
-    assert got[("cases", "m3")][1] == "message_tone: DISMISSIVE → SKEPTICAL"
+    assert got[("cases", "q2")][1] == f"message_tone: {TONES[2]} → {TONES[4]}"
 
 
-def fingerprint(ids, width):
-    level = [hashlib.md5("".join(ids[i:i + width]).encode()).hexdigest() for i in range(0, len(ids), width)]
-    while len(level) > 1:
-        level = [
-            hashlib.md5("".join(level[i:i + width]).encode()).hexdigest()
-            for i in range(0, len(level), width)
-        ]
-    return level[0]
+def fingerprint(ids):
+    """The one definition, at any size."""
+    digests = [hashlib.md5(f"{i}|{x}".encode()).hexdigest() for i, x in enumerate(ids)]
+    words = [sum(int(d[8 * k:8 * k + 8], 16) for d in digests) for k in range(4)]
+    return hashlib.md5(":".join(map(str, [len(ids), *words])).encode()).hexdigest()
 
 
-@pytest.mark.parametrize("n", [1, 4, 5, 16, 17, 60])
+@pytest.mark.parametrize("n", [1, 30, 1000, 1001, 10_001])
 def test_order_fingerprint(spark, n):
     ids = [f"id{i}" for i in range(n)]
     df = spark.createDataFrame([("s", i, x) for i, x in enumerate(ids)], "session string, position long, id string")
-    (row,) = agreement.order_fingerprint(df, width=4).collect()
-    assert row["items"] == n and row["fingerprint"] == fingerprint(ids, 4)
-    (whole,) = agreement.order_fingerprint(df).collect()
-    assert whole["fingerprint"] == hashlib.md5("".join(ids).encode()).hexdigest()
+    (row,) = agreement.order_fingerprint(df.repartition(5)).collect()
+    assert (row["items"], row["fingerprint"]) == (n, fingerprint(ids))
+    if n > 1:
+        swapped = df.withColumn("position", F.lit(n - 1) - F.col("position"))
+        assert agreement.order_fingerprint(swapped).first()["fingerprint"] != row["fingerprint"]
 
 
 def test_calibration_sessions_share_one_order(spark):

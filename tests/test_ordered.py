@@ -6,7 +6,9 @@ from itertools import groupby
 import pytest
 from pyspark.sql import functions as F
 
-from hushmark.operators.messages import flatten, nest, within_length
+from hushmark.operators.messages import flatten, nest, nested_within_length, within_length
+from hushmark.plans.jobs import run_record
+from hushmark.sources.corpus import label_tasks
 from hushmark.operators.transitions import first_transitions, invalid_transitions
 from hushmark.plans import ordered
 from hushmark.rules.labels import GUIDELINE_STAGE_EDGES, STAGE_EDGES
@@ -135,11 +137,11 @@ def test_trailing_count(frame, rows, span):
 
 
 def test_length_filter_keeps_whole_conversations(frame, rows):
-    kept = within_length(frame, "conv", ["turn"], 3, 6)
+    kept = within_length(frame, "conv", 3, 6)
     want = {(c, r[1]) for c, rs in groups(rows).items() if 3 <= len(rs) <= 6 for r in rs}
     assert {(r["conv"], r["turn"]) for r in kept.collect()} == want
     plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan.split("Exchange")[1]
+    assert "Window" not in plan  # counts, and no rows of a conversation in one place
 
 
 def test_nest_splits_long_conversations(spark):
@@ -154,3 +156,22 @@ def test_nest_splits_long_conversations(spark):
     assert rows[("short", 0)] == ["s"] and rows[("none", 0)] == []
     again = flatten(nested.where("conv = 'none'")).collect()
     assert len(again) == 1 and again[0]["message"] is None
+    numbers = {(r["conv"], r["part"]): (r["n_messages"], r["pos_offset"]) for r in nested.collect()}
+    assert numbers[("long", 2)] == (25, 20) and numbers[("none", 0)] == (0, 0)
+
+
+def test_a_conversation_of_any_length_is_one(spark):
+    n = 10_010
+    flat = spark.range(n).selectExpr(
+        "'c' as conv", "id as pos", "struct(cast(id as string) as text) as message", "'f' as source_file"
+    )
+    nested = nest(flat, ["conv", "source_file"])
+    assert nested.count() == 2
+    assert nested_within_length(nested).count() == 0 and within_length(flat, "conv").count() == 0
+    assert label_tasks(nested_within_length(nested)).count() == 0
+    assert [r["meta"]["n_messages"] for r in label_tasks(nested).where("meta.part = 0").collect()] == [n]
+    assert run_record(nested, "1").first()["conversations"] == 1
+    rows = flatten(nested).select("pos", "message.text").collect()
+    assert sorted(r["pos"] for r in rows) == list(range(n)) and all(str(r["pos"]) == r["text"] for r in rows)
+    sparse = flat.withColumn("pos", F.col("pos") * 3)
+    assert sorted(r["pos"] for r in flatten(nest(sparse, ["conv"])).collect()) == list(range(n))
