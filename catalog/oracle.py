@@ -33,6 +33,7 @@ PATTERNS = {
     "url": r"""https?://[^\s<>"{}|\\^`\[\]]+""",
 }
 COUNTED = ("name", "email", "phone", "social", "address")
+OWN_PATTERN = r"\bth[a-z]+\b"
 
 
 def text(value: str | None) -> str:
@@ -161,17 +162,17 @@ VALUES = "vals AS (" + " UNION ALL ".join(
 ) + ")"
 
 
-def redacted(source: str, column: str = "text", categories=tuple(PATTERNS)) -> str:
+def redacted(source: str, column: str = "text", categories=tuple(PATTERNS), counted=COUNTED) -> str:
     """CTEs from ``source`` to ``red``: t0 .. tn, one count per category."""
     steps = [f"r0 AS (SELECT *, {column} AS t0 FROM {source})"]
     for i, c in enumerate(categories):
-        p = text(PATTERNS[c])
+        p = text(PATTERNS.get(c, OWN_PATTERN))
         steps.append(
             f"r{i + 1} AS (SELECT *, CAST(len(regexp_extract_all(t{i}, {p}, 0, 'i')) AS INTEGER) AS n_{c}, "
-            f"regexp_replace(t{i}, {p}, '{TOKENS[c]}', 'gi') AS t{i + 1} FROM r{i})"
+            f"regexp_replace(t{i}, {p}, '{TOKENS.get(c, '[TH]')}', 'gi') AS t{i + 1} FROM r{i})"
         )
     n = len(categories)
-    total = " + ".join(f"n_{c}" for c in categories if c in COUNTED)
+    total = " + ".join(f"n_{c}" for c in categories if c in counted)
     steps.append(
         f"red AS (SELECT *, CASE WHEN t{n} <> t0 THEN true END AS _anonymized, "
         f"CASE WHEN t{n} <> t0 THEN {total} END AS _pii_removed_count, t{n} AS clean FROM r{n})"
@@ -198,6 +199,10 @@ for _by in ("lang", "source"):
     ORACLE[f"pii_stats_by_{_by}"] = (
         with_(redacted("documents")) + f"SELECT {_by}, {STATS} FROM red GROUP BY {_by}"
     )
+ORACLE["pii_redact_own_rule"] = (
+    with_(redacted("documents", categories=(*PATTERNS, "the"), counted=(*COUNTED, "the")))
+    + "SELECT source, CAST(sum(n_the) AS BIGINT) AS the_removed, " + STATS + " FROM red GROUP BY source"
+)
 ORACLE["pii_redact_selected"] = (
     with_(redacted("documents", categories=("email", "phone")))
     + "SELECT doc_id, clean AS text, n_email, n_phone, _pii_removed_count FROM red"
@@ -213,8 +218,7 @@ ORACLE["pii_redact_nested"] = (
     with_(MSG, SEEDED, redacted("seeded"))
     + f"SELECT conv_id, message_id, role, clean AS text, {FLAGS} FROM red"
 )
-ORACLE["entity_list_redact"] = (
-    with_(
+_ENTITIES = with_(
         MSG,
         f"""words AS (SELECT message_id, conv_id, turn, i - 1 AS word_no,
   regexp_replace(string_split(text, ' ')[i], '[.,\n]+', '', 'g') AS entity
@@ -228,16 +232,18 @@ ORACLE["entity_list_redact"] = (
   GROUP BY message_id, n_mentions)""",
         redacted("msg"),
         """done AS (SELECT red.message_id, t0, n_name, n_email + n_phone + n_social + n_address AS others,
-  coalesce(n_mentions, 0) AS mentions,
+  coalesce(n_mentions, 0) AS mentions, coalesce(len(names), 0) AS kinds,
   CASE WHEN names IS NULL THEN clean ELSE
     list_reduce(list_prepend(clean, names), lambda acc, x: replace(acc, x, '[NAME_REMOVED]')) END AS text
   FROM red LEFT JOIN ordered USING (message_id))""",
     )
-    + """SELECT message_id, text, CAST(n_name + mentions AS INTEGER) AS n_name,
+ORACLE["entity_list_redact"] = _ENTITIES + """SELECT message_id, text, CAST(n_name + mentions AS INTEGER) AS n_name,
   CASE WHEN text <> t0 THEN true END AS _anonymized,
   CASE WHEN text <> t0 THEN CAST(n_name + others + mentions AS INTEGER) END AS _pii_removed_count
 FROM done"""
-)
+ORACLE["entity_list_redact_nested"] = _ENTITIES + """SELECT conv_id, message_id, text,
+  CASE WHEN text <> t0 THEN CAST(n_name + others + kinds AS INTEGER) END AS _pii_removed_count
+FROM (SELECT done.*, msg.conv_id FROM done JOIN msg USING (message_id))"""
 LINED = (
     "lined AS (SELECT doc_id, source, concat_ws('\n', text, "
     + pick(derive.LINES, draw(len(derive.LINES), "line", "doc_id"))
@@ -335,8 +341,8 @@ ORACLE["structure_rows_changed"] = with_(
     MSG, DAMAGED, "o AS (SELECT conv_id, turn, role FROM msg)",
     "d AS (SELECT conv_id, turn, role FROM damaged)",
 ) + (
-    "SELECT *, 'original' AS side FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM d) "
-    "UNION ALL SELECT *, 'redacted' FROM (SELECT * FROM d EXCEPT ALL SELECT * FROM o)"
+    "SELECT *, 'original' AS side, count(*) AS n FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM d) GROUP BY ALL "
+    "UNION ALL SELECT *, 'redacted', count(*) FROM (SELECT * FROM d EXCEPT ALL SELECT * FROM o) GROUP BY ALL"
 )
 
 # --- corpus shape --------------------------------------------------------------------
@@ -442,6 +448,33 @@ ORACLE["mixed_profiles"] = with_(MSG, ANN) + (
     "SELECT conv_id, count(DISTINCT profile_id) AS profiles FROM ann GROUP BY 1 HAVING profiles > 1"
 )
 
+# --- the given labels ----------------------------------------------------------------
+
+GIVEN = """given AS (SELECT doc_id, CAST(quality AS VARCHAR) AS quality, CAST(toxic AS VARCHAR) AS toxic, lang
+  FROM labels JOIN documents USING (doc_id)),
+long_given AS (SELECT doc_id, 'quality' AS dimension, quality AS label FROM given
+  UNION ALL SELECT doc_id, 'toxic', toxic FROM given),
+shares AS (SELECT dimension, label, count(*) AS n, count(*) / (sum(count(*)) OVER (PARTITION BY dimension))::DOUBLE AS share
+  FROM long_given WHERE label IS NOT NULL GROUP BY 1, 2)"""
+ORACLE["given_label_distribution"] = (
+    with_(GIVEN) + "SELECT dimension, label, n, round(share, 9) AS share FROM shares"
+)
+ORACLE["given_label_domain"] = with_(GIVEN) + (
+    "SELECT doc_id, dimension, label, 'binary' AS \"check\" FROM long_given WHERE label NOT IN ('0', '1') "
+    "UNION ALL SELECT doc_id, dimension, label, 'good' FROM long_given WHERE dimension = 'quality' AND label <> '1'"
+)
+ORACLE["given_label_balance"] = with_(GIVEN) + (
+    "SELECT 'largest_share_' || dimension AS gate, round(max(share), 9) AS value, 0.4::DOUBLE AS threshold, "
+    "max(share) <= 0.4 AS ok FROM shares GROUP BY dimension"
+)
+ORACLE["given_label_confusion"] = (
+    with_(GIVEN) + "SELECT lang, quality, toxic, count(*) AS n FROM given GROUP BY ALL"
+)
+ORACLE["annotation_records"] = with_(MSG, ANN) + (
+    f"SELECT message_id, CASE WHEN {draw(4, 'no_text', *K)} > 0 THEN text ELSE 'N/A' END AS text, primary_intent, "
+    f"message_tone, safety_level, confidence, CASE WHEN {draw(4, 'no_response', *K)} > 0 THEN response ELSE '' END AS response FROM ann"
+)
+
 # --- state machines ------------------------------------------------------------------
 
 
@@ -669,20 +702,22 @@ ADVICE = """advice AS (
 ORACLE["recommendations"] = with_(MSG, ANN, REV, RATE, ANOMALIES, ADVICE) + (
     "SELECT CAST(rank AS INTEGER) AS rank, advice, round(value, 9) AS value FROM advice"
 )
-STATS_ROWS = """SELECT 'summary' AS section, 'total_messages' AS item, CAST(count(*) AS DOUBLE) AS value FROM rev
-  UNION ALL SELECT 'summary', 'messages_needing_review', count(*) FILTER (len(reasons) > 0) FROM rev
-  UNION ALL SELECT 'summary', 'review_rate', rate FROM rate
-  UNION ALL SELECT 'anomalies', anomaly, value FROM anom WHERE fires
-  UNION ALL SELECT 'distribution:' || dimension, label, share FROM dist_all"""
+STATS_ROWS = """SELECT 'summary' AS section, 'total_messages' AS item, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM rev
+  UNION ALL SELECT 'summary', 'messages_needing_review', count(*) FILTER (len(reasons) > 0), NULL FROM rev
+  UNION ALL SELECT 'summary', 'review_rate', rate, NULL FROM rate
+  UNION ALL SELECT 'anomalies', anomaly, value, NULL FROM anom WHERE fires
+  UNION ALL SELECT 'distribution:' || dimension, label, share,
+    repeat('█', CAST(floor(share * 20) AS BIGINT)) || ' ' || printf('%.1f%%', round_even(share * 100, 1)) FROM dist_all"""
 ORACLE["quick_stats"] = with_(MSG, ANN, REV, RATE, ANOMALIES, DIST_ALL) + (
-    f"SELECT section, item, round(CAST(value AS DOUBLE), 9) AS value FROM ({STATS_ROWS})"
+    f"SELECT section, item, round(CAST(value AS DOUBLE), 9) AS value, text FROM ({STATS_ROWS})"
 )
 ORACLE["review_report"] = with_(
     MSG, ANN, REV, RATE, ANOMALIES, DIST_ALL, HISTOGRAM, EXAMPLES, ADVICE
-) + f"""SELECT section, item, round(CAST(value AS DOUBLE), 9) AS value FROM ({STATS_ROWS}
-  UNION ALL SELECT 'issues', issue, n FROM hist
-  UNION ALL SELECT 'examples:' || issue, message_id, k FROM examples WHERE k <= 3
-  UNION ALL SELECT 'recommendations', advice, value FROM advice)"""
+) + f"""SELECT section, item, round(CAST(value AS DOUBLE), 9) AS value, text FROM ({STATS_ROWS}
+  UNION ALL SELECT 'issues', issue, n, NULL FROM hist
+  UNION ALL SELECT 'examples:' || issue, message_id, k, concat_ws(' | ', primary_intent, message_tone, safety_level,
+    {_CODES}, text, response) FROM examples JOIN rev USING (message_id) WHERE k <= 3
+  UNION ALL SELECT 'recommendations', advice, value, NULL FROM advice)"""
 ORACLE["label_report"] = with_(MSG, ANN, DIST, CONFLICTS, _STEPS, moves(labels.STAGE_EDGES)) + (
     "SELECT section, item, round(CAST(value AS DOUBLE), 9) AS value, text FROM ("
     "SELECT 'distribution:' || dimension AS section, label AS item, share AS value, "

@@ -23,7 +23,7 @@ from hushmark.operators import (
 )
 from hushmark.plans import derive, jobs, ordered, reports
 from hushmark.rules import labels as label_rules
-from hushmark.rules.pii import COUNTED, select_rules
+from hushmark.rules.pii import COUNTED, PII_RULES, PiiRule, select_rules
 from hushmark.sources import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,26 @@ def pii_redact_nested(spark, folder):
     return done.select("conv_id", "message.*")
 
 
+OWN_RULE = PiiRule("the", r"(?i)\bth[a-z]+\b", "[TH]")
+
+
+@query
+def pii_redact_own_rule(spark, folder):
+    """A rule of the user's own runs after the built-in ones and counts like them."""
+    rules = (*PII_RULES, OWN_RULE)
+    done = redact.redact_messages(derive.documents(spark, folder), rules=rules)
+    return redact.statistics(done, "source", rules=rules)
+
+
+@query
+def entity_list_redact_nested(spark, folder):
+    base = derive.messages(spark, folder)
+    with_names = redact.attach_entities(base, derive.entity_mentions(spark, folder), "message_id")
+    flat = with_names.select("conv_id", "turn", F.struct("message_id", "text", "entities").alias("message"))
+    done = redact.redact_nested(messages.nest(flat, ["conv_id"], order="turn"), entities="entities")
+    return messages.flatten(done).select("conv_id", "message.message_id", "message.text", "message._pii_removed_count")
+
+
 @query
 def entity_list_redact(spark, folder):
     base = derive.messages(spark, folder)
@@ -161,11 +181,7 @@ def pii_recall_by_template(spark, folder):
 
 @query
 def pii_residual_audit(spark, folder):
-    before = derive.seeded(spark, folder)
-    after = redact.redact_messages(before)
-    both = before.select("role", "text", F.lit("before").alias("stage")).unionByName(
-        after.select("role", "text", F.lit("after").alias("stage"))
-    )
+    both = audit.before_and_after(derive.seeded(spark, folder), "role")
     return audit.residual_summary(both, "stage", "role")
 
 
@@ -328,6 +344,61 @@ def label_report(spark, folder):
     return report.withColumn("value", F.round("value", 9))
 
 
+def _given_labels(spark, folder):
+    """The given labels of documents, as text, with their document's language."""
+    found = derive.load(spark, folder, "labels", "doc_id").select(
+        "doc_id", F.col("quality").cast("string").alias("quality"), F.col("toxic").cast("string").alias("toxic")
+    )
+    return found.join(derive.documents(spark, folder).select("doc_id", "lang"), "doc_id")
+
+
+GIVEN = ("quality", "toxic")
+
+
+@query
+def given_label_distribution(spark, folder):
+    shares = labels.distribution(_given_labels(spark, folder), GIVEN)
+    return shares.withColumn("share", F.round("share", 9))
+
+
+@query
+def given_label_domain(spark, folder):
+    """Labels outside 0 and 1, and as every table needs a counter-example, quality outside {1}."""
+    rows = _given_labels(spark, folder)
+    wrong = labels.domain_violations(rows, "doc_id", taxonomy={"quality": ("0", "1"), "toxic": ("0", "1")})
+    odd = labels.domain_violations(rows, "doc_id", taxonomy={"quality": ("1",)})
+    return wrong.withColumn("check", F.lit("binary")).unionByName(odd.withColumn("check", F.lit("good")))
+
+
+@query
+def given_label_balance(spark, folder):
+    counts = labels.distribution(_given_labels(spark, folder), GIVEN).select(
+        F.col("dimension").alias("section"), F.col("label").alias("item"), "n"
+    )
+    return gates.balance_gates(counts, GIVEN).withColumn("value", F.round("value", 9))
+
+
+@query
+def given_label_confusion(spark, folder):
+    return _given_labels(spark, folder).groupBy("lang", "quality", "toxic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def annotation_records(spark, folder):
+    """Annotation records as JSON text, parsed by the declared schema and flattened."""
+    rows = derive.annotations(spark, folder)
+    record = F.to_json(
+        F.struct(
+            "message_id",
+            F.when(draw(4, "no_text", *derive.KEYS) > 0, F.col("text")).alias("original_text"),
+            F.struct("primary_intent", "message_tone", "safety_level", "confidence").alias("annotations"),
+            F.when(draw(4, "no_response", *derive.KEYS) > 0, F.struct(F.col("response").alias("text"))).alias("ideal_response"),
+        )
+    )
+    parsed = rows.select(F.from_json(record, corpus.ANNOTATION).alias("r")).select("r.*")
+    return review.flat_annotations(parsed).drop("reasoning")
+
+
 # --- state machines ------------------------------------------------------------------
 
 
@@ -529,18 +600,14 @@ def distribution_anomalies(spark, folder):
 
 @query
 def quality_gates(spark, folder):
-    rows = derive.annotations(spark, folder)
     scores = agreement.session_agreement(derive.session_records(spark, folder), "day1", "day2")
-    found = gates.quality_gates(rows, review.review_rate(review.review(rows)), scores)
+    found = gates.quality_gates(reports.tally(_reviewed(spark, folder)), scores)
     return found.withColumn("value", F.round("value", 9))
 
 
 @query
 def recommendations(spark, folder):
-    rows = derive.annotations(spark, folder)
-    found = gates.recommendations(
-        review.review_rate(review.review(rows)), review.distribution_anomalies(rows)
-    )
+    found = reports.recommendations(reports.tally(_reviewed(spark, folder)))
     return found.withColumn("value", F.round("value", 9))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hushmark.functions import text_array
-from hushmark.operators.redact import TEST_COLUMN, redact_text
+from hushmark.operators.redact import TEST_COLUMN, may_match, redact_text
 from hushmark.operators.seed import only_seeded, per_value
 from hushmark.plans.once import evaluate_once
 from hushmark.rules.pii import AUDIT_NAMES, PII_RULES, PiiRule
@@ -32,9 +32,11 @@ def residuals(
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
 
     def found(category: str) -> Column:
-        everything = F.regexp_extract_all(
-            F.coalesce(F.col(text), F.lit("")), F.lit(by_category[category].pattern), F.lit(0)
-        )
+        rule, where = by_category[category], F.coalesce(F.col(text), F.lit(""))
+        everything = F.regexp_extract_all(where, F.lit(rule.pattern), F.lit(0))
+        cheap = may_match(where, rule)  # most texts fail a simple test and skip the pattern
+        if cheap is not None:
+            everything = F.when(cheap, everything).otherwise(F.array().cast("array<string>"))
         return everything.alias(f"{category}s")
 
     known = F.filter(text_array(names), lambda n: F.contains(low, F.lower(n)))
@@ -59,6 +61,15 @@ def residual_summary(df: DataFrame, *by: str, text: str = "text") -> DataFrame:
     )
 
 
+def before_and_after(
+    df: DataFrame, *keep: str, text: str = "text", rules: tuple[PiiRule, ...] = PII_RULES
+) -> DataFrame:
+    """Each message twice, as ``stage`` before and after redaction: one pass, one scan."""
+    done = redact_text(df, text, rules)
+    stages = [F.struct(F.lit(s).alias("stage"), F.col(c).alias(text)) for s, c in (("before", "_before"), ("after", text))]
+    return done.select(*keep, F.inline(F.array(*stages)))
+
+
 def recall_rows(
     seeded: DataFrame, *keep: str, text: str = "text", rules: tuple[PiiRule, ...] = PII_RULES
 ) -> DataFrame:
@@ -132,11 +143,16 @@ def structure_counts(
 
 
 def rows_changed(original: DataFrame, redacted: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows in one table and not the other on the given columns, duplicates counted."""
-    a, b = original.select(*columns), redacted.select(*columns)
-    return a.exceptAll(b).withColumn("side", F.lit("original")).unionByName(
-        b.exceptAll(a).withColumn("side", F.lit("redacted"))
+    """Rows in one table and not the other on the given columns, duplicates counted.
+
+    Adds ``side`` and by how many rows it has more, ``n``.  One aggregate over both tables.
+    """
+    both = original.select(*columns, F.lit(1).alias("_d")).unionByName(
+        redacted.select(*columns, F.lit(-1).alias("_d"))
     )
+    differ = both.groupBy(*columns).agg(F.sum("_d").alias("_d")).where(F.col("_d") != 0)
+    side = F.when(F.col("_d") > 0, "original").otherwise("redacted")
+    return differ.select(*columns, side.alias("side"), F.abs("_d").alias("n"))
 
 
 def marked_lines(

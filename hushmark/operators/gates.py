@@ -1,4 +1,4 @@
-"""Quality gates and the recommendations that follow from them."""
+"""Quality gates over a tally of reviewed records."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hushmark.operators.labels import distribution
 from hushmark.rules import labels as rules
 
 SAFE, _, _, LEVEL3 = rules.TAXONOMY["safety_level"]
@@ -22,18 +21,28 @@ def _gate(name: str, value: Column, threshold: float, ok: Column) -> Column:
     )
 
 
-def label_gates(df: DataFrame) -> DataFrame:
-    """OTHER share, risk share and level-3 examples, from one aggregate."""
-    total = F.count(F.lit(1))
-    level = F.col("safety_level")
-    one_row = df.agg(
-        F.when(total > 0, F.count_if(F.col("primary_intent") == rules.OTHER_LABEL) / total).alias(
-            "other"
-        ),
-        F.when(total > 0, F.count_if(level.isNotNull() & (level != SAFE)) / total).alias("risk"),
-        F.count_if(level == LEVEL3).alias("level3"),
+def tally_gates(counts: DataFrame) -> DataFrame:
+    """OTHER share, risk share, level-3 examples and review rate, from ``reports.tally``."""
+
+    def n(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    def at(section: str, item: str) -> Column:
+        return (F.col("section") == section) & (F.col("item") == item)
+
+    risky = (F.col("section") == "safety_level") & (F.col("item") != SAFE)
+    one_row = counts.agg(
+        n(at("summary", "total")).alias("total"),
+        n(at("summary", "to_review")).alias("review"),
+        n(at("primary_intent", rules.OTHER_LABEL)).alias("other"),
+        n(risky).alias("risk"),
+        n(at("safety_level", LEVEL3)).alias("level3"),
     )
-    other, risk, level3 = F.col("other"), F.col("risk"), F.col("level3")
+
+    def share(column: str) -> Column:
+        return F.when(F.col("total") > 0, F.col(column) / F.col("total"))
+
+    other, risk, rate, level3 = share("other"), share("risk"), share("review"), F.col("level3")
     return one_row.select(
         F.inline(
             F.array(
@@ -43,31 +52,24 @@ def label_gates(df: DataFrame) -> DataFrame:
                     "level3_examples", level3, rules.MIN_LEVEL3_EXAMPLES,
                     level3 >= rules.MIN_LEVEL3_EXAMPLES,
                 ),
+                _gate("review_rate", rate, rules.REVIEW_RATE_GATE, rate < rules.REVIEW_RATE_GATE),
             )
         )
     )
 
 
-def balance_gates(df: DataFrame, dimensions: Sequence[str] = rules.SESSION_DIMENSIONS) -> DataFrame:
-    """Largest label share per dimension."""
-    largest = (
-        distribution(df, dimensions).groupBy("dimension").agg(F.max("share").alias("value"))
-    )
+def balance_gates(counts: DataFrame, dimensions: Sequence[str] = rules.SESSION_DIMENSIONS) -> DataFrame:
+    """Largest label share per dimension, from rows ``(section, item, n)``."""
+    known = counts.where(F.col("section").isin(*dimensions) & F.col("item").isNotNull())
+    largest = known.groupBy("section").agg((F.max("n") / F.sum("n")).alias("value"))
     return largest.select(
-        F.concat(F.lit("largest_share_"), "dimension").alias("gate"),
+        F.concat(F.lit("largest_share_"), "section").alias("gate"),
         "value",
         F.lit(rules.LARGEST_SHARE_GATE).alias("threshold"),
         (F.col("value") <= rules.LARGEST_SHARE_GATE).alias("ok"),
     )
 
 
-def review_gate(rate: DataFrame) -> DataFrame:
-    """``rate`` as ``review.review_rate`` gives it."""
-    value = F.col("rate")
-    gate = _gate("review_rate", value, rules.REVIEW_RATE_GATE, value < rules.REVIEW_RATE_GATE)
-    return rate.select(F.inline(F.array(gate)))
-
-
 def agreement_gate(agreement: DataFrame) -> DataFrame:
     """``agreement`` as ``agreement.session_agreement`` gives it; no data fails."""
     value = F.max(F.when(F.col("dimension") == "overall", F.col("score")))
@@ -83,31 +85,10 @@ def agreement_gate(agreement: DataFrame) -> DataFrame:
     )
 
 
-def quality_gates(annotations: DataFrame, rate: DataFrame, agreement: DataFrame) -> DataFrame:
-    """All gates as rows."""
+def quality_gates(counts: DataFrame, agreement: DataFrame) -> DataFrame:
+    """All gates as rows: one pass over the reviewed records (``reports.tally``), one over the sessions."""
     return (
-        label_gates(annotations)
-        .unionByName(balance_gates(annotations))
-        .unionByName(review_gate(rate))
+        tally_gates(counts)
+        .unionByName(balance_gates(counts))
         .unionByName(agreement_gate(agreement))
     )
-
-
-def recommendations(rate: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """Up to three advices: review rate, OTHER share, safe share."""
-    high_rate = rate.where(F.col("rate") > rules.REVIEW_RATE_GATE).select(
-        F.lit(1).alias("rank"), F.lit("refine_annotation_prompt").alias("advice"),
-        F.col("rate").alias("value"),
-    )
-    advice = {
-        "other_share_high": (2, "split_other_category"),
-        "safe_share_high": (3, "check_safety_labels"),
-    }
-    rank, text = F.lit(None).cast("int"), F.lit(None).cast("string")
-    for name, (n, words) in advice.items():
-        hit = F.col("anomaly") == name
-        rank, text = F.when(hit, n).otherwise(rank), F.when(hit, words).otherwise(text)
-    others = anomalies.where(F.col("fires") & F.col("anomaly").isin(*advice)).select(
-        rank.alias("rank"), text.alias("advice"), "value"
-    )
-    return high_rate.unionByName(others)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hushmark.functions import blank, text_array
-from hushmark.rules.pii import COUNTED, DEFAULT_TOKEN, PII_RULES, TOKENS, PiiRule
+from hushmark.rules.pii import DEFAULT_TOKEN, PII_RULES, TOKENS, PiiRule
 
 TEST_COLUMN = "_test_pii_added"
 
@@ -21,15 +21,19 @@ def _replacement(token: str) -> Column:
     return F.lit((token or DEFAULT_TOKEN).replace("\\", "\\\\").replace("$", "\\$"))
 
 
-def count_matches(text: Column, rule: PiiRule) -> Column:
-    """Matches of one rule, behind a cheap test that most texts fail."""
-    found = F.regexp_count(text, F.lit(rule.pattern))
+def may_match(text: Column, rule: PiiRule) -> Column | None:
+    """A cheap test that every text with a match passes, where the rule states one."""
     cheap = [F.contains(text, F.lit(s)) for s in rule.needs]
     if rule.needs_digit:
         cheap.append(F.regexp_like(text, F.lit(r"(?U)\d")))
-    if cheap:
-        found = F.when(reduce(or_, cheap), found)
-    return F.coalesce(found, F.lit(0))
+    return reduce(or_, cheap) if cheap else None
+
+
+def count_matches(text: Column, rule: PiiRule) -> Column:
+    """Matches of one rule, behind a cheap test that most texts fail."""
+    found = F.regexp_count(text, F.lit(rule.pattern))
+    cheap = may_match(text, rule)
+    return F.coalesce(found if cheap is None else F.when(cheap, found), F.lit(0))
 
 
 def replace_matches(text: Column, rule: PiiRule, count: Column) -> Column:
@@ -41,6 +45,12 @@ def count_column(category: str) -> str:
     return f"n_{category}"
 
 
+def counted_categories(rules: tuple[PiiRule, ...], entities: bool = False) -> list[str]:
+    """The categories that totals are made of; entities count as names."""
+    found = [r.category for r in rules if r.counted]
+    return found if not entities or "name" in found else ["name", *found]
+
+
 def redact_text(
     df: DataFrame, text: str = "text", rules: tuple[PiiRule, ...] = PII_RULES
 ) -> DataFrame:
@@ -67,7 +77,7 @@ def redact_messages(
     """Redact flat messages.
 
     Adds the per-category counts, ``_anonymized`` (true or null) and
-    ``_pii_removed_count`` (without url; null when nothing changed).  ``entities``
+    ``_pii_removed_count`` (over all counted rules, so without url; null when nothing changed).  ``entities``
     names an array of person names found by a model; they are replaced after the
     patterns and counted as names.  Seeded truth is dropped where there was text.
     """
@@ -76,7 +86,7 @@ def redact_messages(
         done = redact_entities(done, entities, text, "n_entities", mentions)
         name = F.col(count_column("name")) if "n_name" in done.columns else F.lit(0)
         done = done.withColumn("n_name", name + F.col("n_entities")).drop("n_entities")
-    counted = [F.col(count_column(c)) for c in COUNTED if count_column(c) in done.columns]
+    counted = [F.col(count_column(c)) for c in counted_categories(rules, entities is not None)]
     changed = F.coalesce(F.col(text) != F.col("_before"), F.lit(False))
     done = done.withColumns(
         {
@@ -101,13 +111,7 @@ def redact_entities(
     ``count`` gets the number of mentions: the ``mentions`` column where the array
     holds distinct names, else the length of the array.
     """
-    longest_first = F.array_sort(F.col(entities), lambda a, b: F.length(b) - F.length(a))
-    token = F.lit(TOKENS["name"])
-    rewritten = F.aggregate(
-        longest_first,
-        F.col(text),
-        lambda acc, name: F.when(name == "", acc).otherwise(F.replace(acc, name, token)),
-    )
+    rewritten = replace_entities(F.col(text), F.col(entities))
     present = F.col(entities).isNotNull() & ~blank(F.col(text))
     seen = F.array_size(entities) if mentions is None else F.col(mentions)
     return df.withColumns(
@@ -118,6 +122,17 @@ def redact_entities(
     )
 
 
+def replace_entities(text: Column, entities: Column) -> Column:
+    """The text with every given name replaced, the longest first."""
+    longest_first = F.array_sort(entities, lambda a, b: F.length(b) - F.length(a))
+    token = F.lit(TOKENS["name"])
+    return F.aggregate(
+        longest_first,
+        text,
+        lambda acc, name: F.when(name == "", acc).otherwise(F.replace(acc, name, token)),
+    )
+
+
 def listed_entities(text: str, names: Iterable[str]) -> Column:
     """Those of a fixed list of names that occur in the text: an array for ``redact_entities``."""
     return F.filter(text_array(names), lambda name: F.contains(F.col(text), name))
@@ -148,14 +163,20 @@ def redact_nested(
     messages: str = "messages",
     rules: tuple[PiiRule, ...] = PII_RULES,
     counts: bool = False,
+    entities: str | None = None,
 ) -> DataFrame:
     """Redact nested conversations in place; every other field stays as it is.
 
-    Each pattern runs once per message, and rows stay where they are.  ``counts`` adds
-    ``n_<category>`` and ``_pii_removed_count`` per conversation.
+    Each pattern runs once per message, and rows stay where they are.  ``entities`` names
+    a message field with an array of person names; they are replaced after the patterns and
+    counted as names.  ``counts`` adds ``n_<category>`` and ``_pii_removed_count`` per conversation.
     """
     names = [count_column(rule.category) for rule in rules]
     fields = message_fields(conversations, messages)
+    if entities is not None and entities not in fields:
+        raise ValueError(f"messages have no field {entities}")
+    if entities is not None and "n_name" not in names:
+        names = ["n_name", *names]
     if "text" not in fields:
         zeros = [*names, "_pii_removed_count"] if counts else []
         return conversations.withColumns({c: F.lit(0) for c in zeros})
@@ -169,9 +190,12 @@ def redact_nested(
         state = F.transform(state, _nested_count(rule, tuple(done)))
         done.append(name)
         state = F.transform(state, _nested_replace(rule, tuple(done)))
+    if entities is not None:
+        state = F.transform(state, _nested_entities(entities, tuple(done)))
+        done = names
 
     step = conversations.withColumn("_state", state)
-    counted = [c for c in (count_column(c) for c in COUNTED) if c in done]
+    counted = [count_column(c) for c in counted_categories(rules, entities is not None)]
     step = step.withColumn(
         messages, F.transform("_state", lambda s: _nested_result(s, fields, counted))
     )
@@ -183,6 +207,23 @@ def redact_nested(
     return step.drop("_state")
 
 
+def _nested_entities(entities: str, done: tuple[str, ...]) -> Callable[[Column], Column]:
+    def step(s: Column) -> Column:
+        names, text = s["message"][entities], s["text"]
+        present = names.isNotNull() & ~blank(text)
+        own = F.when(present, F.size(names)).otherwise(0)
+        before = s["n_name"] if "n_name" in done else F.lit(0)
+        others = [s[c].alias(c) for c in done if c != "n_name"]
+        return F.struct(
+            s["message"].alias("message"),
+            F.when(present, replace_entities(text, names)).otherwise(text).alias("text"),
+            (before + own).alias("n_name"),
+            *others,
+        )
+
+    return step
+
+
 def _array_sum(values: Column) -> Column:
     added = F.aggregate(values, F.lit(0), lambda total, n: total + n)
     return F.coalesce(added, F.lit(0))
@@ -220,9 +261,9 @@ def _nested_result(s: Column, fields: list[str], counted: list[str]) -> Column:
     return result
 
 
-def statistics(redacted: DataFrame, *by: str) -> DataFrame:
-    """Removed items per category and in total, per group.  url has no part in it."""
-    present = [c for c in COUNTED if count_column(c) in redacted.columns]
+def statistics(redacted: DataFrame, *by: str, rules: tuple[PiiRule, ...] = PII_RULES) -> DataFrame:
+    """Removed items per category and in total, per group, over the counted ones of ``rules``."""
+    present = [c for c in counted_categories(rules, True) if count_column(c) in redacted.columns]
     sums = {c: F.coalesce(F.sum(count_column(c)), F.lit(0)).cast("bigint") for c in present}
     total = F.coalesce(F.sum("_pii_removed_count"), F.lit(0)).cast("bigint")
     return redacted.groupBy(*by).agg(
@@ -230,10 +271,12 @@ def statistics(redacted: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def observe_statistics(redacted: DataFrame, name: str = "redaction") -> tuple[DataFrame, Observation]:
+def observe_statistics(
+    redacted: DataFrame, name: str = "redaction", rules: tuple[PiiRule, ...] = PII_RULES
+) -> tuple[DataFrame, Observation]:
     """The same totals over the whole run, measured while the result is written."""
     seen = Observation(name)
-    present = [c for c in COUNTED if count_column(c) in redacted.columns]
+    present = [c for c in counted_categories(rules, True) if count_column(c) in redacted.columns]
     observed = redacted.observe(
         seen,
         F.count(F.lit(1)).alias("messages"),

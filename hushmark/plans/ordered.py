@@ -155,10 +155,12 @@ def trailing_count(
 
     The timeline is cut into buckets of one span; a row is also copied into the next
     bucket, where it can only be looked back at.  A look-back never reaches further,
-    so the count is exact and no task sees more than two spans of a group.
+    so the count is exact and no task sees more than two spans of a group.  A row without
+    a time has nothing to look back from: it stays, with a null count.
     """
     bucket = F.floor(F.col(seconds_col) / span)
-    copies = df.withColumn("_own", bucket).withColumn(
+    timeless = df.where(F.col(seconds_col).isNull()).withColumn(name, F.lit(None).cast("bigint"))
+    copies = df.where(F.col(seconds_col).isNotNull()).withColumn("_own", bucket).withColumn(
         "_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1))
     )
     recent = Window.partitionBy(*keys, "_bucket").orderBy(seconds_col).rangeBetween(-span, 0)
@@ -166,4 +168,5 @@ def trailing_count(
         copies.withColumn(name, F.count(F.lit(1)).over(recent))
         .where(F.col("_own") == F.col("_bucket"))
         .drop("_own", "_bucket")
+        .unionByName(timeless)
     )

@@ -101,7 +101,8 @@ def tally(reviewed: DataFrame) -> DataFrame:
     """Every count the review reports need, from one pass: ``section, item, n``.
 
     Each record adds itself, its labels and its issue types; what leaves a task is one
-    row per distinct item.
+    row per distinct item.  Filters stay above the counts (they would be pushed below, and
+    each section would count anew), so that all sections share one exchange.
     """
 
     def entry(section: str, item: Column) -> Column:
@@ -115,7 +116,8 @@ def tally(reviewed: DataFrame) -> DataFrame:
     )
     issues = F.transform("reasons", lambda r: entry("issues", issue_type(r["code"])))
     items = reviewed.select(F.inline(F.concat(fixed, issues)))
-    return items.groupBy("section", "item").agg(F.count(F.lit(1)).alias("n"))
+    counts = items.groupBy("section", "item").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.inline(F.array(F.struct("section", "item", "n"))))
 
 
 def _totals(counts: DataFrame) -> DataFrame:
@@ -143,6 +145,23 @@ def _totals(counts: DataFrame) -> DataFrame:
     )
 
 
+def recommendations(counts: DataFrame) -> DataFrame:
+    """Up to three advices from a ``tally``: review rate, OTHER share, safe share."""
+
+    def advice(rank: int, name: str, value: str, limit: float) -> Column:
+        row = F.struct(
+            F.lit(rank).alias("rank"), F.lit(name).alias("advice"), F.col(value).alias("value")
+        )
+        return F.when(F.col(value) > limit, row)
+
+    rows = F.array(
+        advice(1, "refine_annotation_prompt", "rate", label_rules.REVIEW_RATE_GATE),
+        advice(2, "split_other_category", "other", label_rules.OTHER_SHARE_GATE),
+        advice(3, "check_safety_labels", "safe", label_rules.SAFE_SHARE_ALERT),
+    )
+    return _totals(counts).select(F.inline(F.array_compact(rows)))
+
+
 def _summary_rows(counts: DataFrame, with_advice: bool) -> DataFrame:
     summary, anomalies, advice = F.lit("summary"), F.lit("anomalies"), F.lit("recommendations")
     rate, other, safe, intents = (F.col(c) for c in ("rate", "other", "safe", "intents"))
@@ -179,19 +198,23 @@ def _share_rows(counts: DataFrame) -> DataFrame:
 
 def quick_stats(reviewed: DataFrame) -> DataFrame:
     """Totals, review rate, distributions and the anomalies that fire."""
-    counts = tally(reviewed).persist()  # a row per label and issue type
+    counts = tally(reviewed)  # both sections read the one exchange that the tally ends in
     return _summary_rows(counts, with_advice=False).unionByName(_share_rows(counts))
 
 
-def review_report(reviewed: DataFrame, order: str = "message_id") -> DataFrame:
+def review_report(
+    reviewed: DataFrame, order: str = "message_id", text: str = "text", response: str = "response"
+) -> DataFrame:
     """Quick statistics, issue counts, examples per issue, and recommendations.
 
+    An example shows its labels, reason codes, message and proposed response.
+
     Two passes over the records: one for all counts, one for the top candidates.
     """
-    counts = tally(reviewed).persist()  # a row per label and issue type
+    counts = tally(reviewed)  # every section reads the one exchange that the tally ends in
     examples = review.examples_by_issue(reviewed, order=order)
     example_text = F.concat_ws(
-        " | ", "primary_intent", "message_tone", "safety_level", review.reason_codes()
+        " | ", "primary_intent", "message_tone", "safety_level", review.reason_codes(), text, response
     )
     issues = counts.where(F.col("section") == "issues")
     return (

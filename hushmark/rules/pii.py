@@ -63,6 +63,7 @@ class PiiRule(NamedTuple):
 
     ``needs`` holds substrings of which one must occur for the pattern to be able
     to match; ``needs_digit`` says a digit would do as well.  Both only save work.
+    ``counted`` says whether matches take part in totals.
     """
 
     category: str
@@ -70,6 +71,7 @@ class PiiRule(NamedTuple):
     token: str
     needs: tuple[str, ...] = ()
     needs_digit: bool = False
+    counted: bool = True
 
 
 def any_of(words: Iterable[str]) -> str:
@@ -141,7 +143,7 @@ PII_RULES = (
     PiiRule("phone", phone_pattern(), TOKENS["phone"], (":",), True),
     PiiRule("social", social_pattern(), TOKENS["social"], ("@", ":")),
     PiiRule("address", address_pattern(), TOKENS["address"], (), True),
-    PiiRule("url", url_pattern(), TOKENS["url"], ("://",)),
+    PiiRule("url", url_pattern(), TOKENS["url"], ("://",), counted=False),
 )
 CATEGORIES = tuple(rule.category for rule in PII_RULES)
 

@@ -18,18 +18,30 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
 
 
 def redact_stream(
-    messages: DataFrame, text: str = "text", rules: tuple[PiiRule, ...] = PII_RULES
+    messages: DataFrame,
+    text: str = "text",
+    rules: tuple[PiiRule, ...] = PII_RULES,
+    entities: str | None = None,
 ) -> DataFrame:
-    """No state and no shuffle: each micro-batch is one narrow stage."""
-    return redact_messages(messages, text, rules)
+    """No state and no shuffle: each micro-batch is one narrow stage.
+
+    ``entities`` names an array column of person names that come with the messages.
+    """
+    return redact_messages(messages, text, rules, entities)
 
 
 def start_redaction(
-    messages: DataFrame, out: str, name: str, text: str = "text", available_now: bool = True
+    messages: DataFrame,
+    out: str,
+    name: str,
+    text: str = "text",
+    available_now: bool = True,
+    rules: tuple[PiiRule, ...] = PII_RULES,
+    entities: str | None = None,
 ) -> StreamingQuery:
     """Write a redacted stream to parquet, remembering its progress in the shared folder."""
     writer = (
-        redact_stream(messages, text)
+        redact_stream(messages, text, rules, entities)
         .writeStream.format("parquet")
         .queryName(name)
         .option("path", out)

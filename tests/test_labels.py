@@ -331,9 +331,7 @@ def test_reports_agree_with_the_single_operators(reviewed):
         assert got[("issues", r["issue"])] == r["n"]
     fired = {r["anomaly"] for r in review.distribution_anomalies(reviewed).collect() if r["fires"]}
     assert {i for s, i in got if s == "anomalies"} == fired
-    advice = gates.recommendations(
-        review.review_rate(reviewed), review.distribution_anomalies(reviewed)
-    ).collect()
+    advice = reports.recommendations(reports.tally(reviewed)).collect()
     assert {i for s, i in got if s == "recommendations"} == {r["advice"] for r in advice}
 
 
@@ -343,7 +341,7 @@ def test_nothing_to_review(spark):
     assert (row["total"], row["rate"]) == (0, None)
     values = [r["value"] for r in review.distribution_anomalies(empty).collect()]
     assert values == [None, 0.0, None]
-    assert all(not r["ok"] for r in gates.label_gates(empty).collect())
+    assert all(not r["ok"] for r in gates.tally_gates(reports.tally(empty)).collect())
 
 
 def test_nested_annotations_get_their_defaults(spark, tmp_path):
@@ -373,7 +371,7 @@ def test_quality_gates(spark):
     rows += [("2", "GOODBYE", "ENGAGED", "LEVEL_3_INAPPROPRIATE", 1.0, "", "t")] * 10
     df = spark.createDataFrame(rows, ANNOTATION)
     scores = spark.createDataFrame([("overall", 9, 10, 0.9)], "dimension string, matches int, total int, score double")
-    found = gates.quality_gates(df, review.review_rate(review.review(df)), scores)
+    found = gates.quality_gates(reports.tally(review.review(df)), scores)
     got = {r["gate"]: (r["value"], r["ok"]) for r in found.collect()}
     assert got["other_share"] == (0.0, True)
     assert got["risk_share"] == (0.25, True)

@@ -133,6 +133,9 @@ def test_trailing_count(frame, rows, span):
     want = sorted(
         (c, s, sum(1 for o in kept if o[0] == c and s - span <= o[3] <= s)) for c, _, _, s in kept
     )
+    timeless = frame.where("conv is not null").limit(3).withColumn("seconds", F.lit(None).cast("bigint"))
+    more = ordered.trailing_count(timeless, ["conv"], "seconds", span).collect()
+    assert [r["recent"] for r in more] == [None] * 3
     assert sorted((r["conv"], r["seconds"], r["recent"]) for r in got.collect()) == want
 
 

@@ -113,7 +113,7 @@ def test_structure_checks(spark):
     counts = {tuple(r) for r in audit.structure_counts(a, b, "conv").collect()}
     assert counts == {("d", 1, 0), ("e", 0, 1)}
     changed = audit.rows_changed(a, b.union(b.where("g = 1")), ["conv", "g"]).collect()
-    assert {tuple(r) for r in changed} == {("d", 3, "original"), ("e", 3, "redacted"), ("c", 1, "redacted")}
+    assert {tuple(r) for r in changed} == {("d", 3, "original", 1), ("e", 3, "redacted", 1), ("c", 1, "redacted", 1)}
 
 
 def test_redaction_changes_text_only(spark, tiny):
