@@ -1,10 +1,11 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
 The training texts become postings ``(doc, term, position)``, written once to the shared
-folder. A search takes the rarest term of every test window, shifts its postings by the
+folder. A search takes the two rarest terms of every test window, shifts their postings by the
 term's place in the item, so that all words of one occurrence fall on the same diagonal
-``position - place``, and intersects with the shifted postings of the other terms. What
-stays are exact phrase matches, found without going back to any text. ``near_matches``
+``position - place``, and intersects the two lists. What both hold is intersected with the shifted
+postings of the other terms. What stays are exact phrase matches, found without going back to any
+text. ``near_matches``
 answers from the same index where the words of a phrase stand close together in any order.
 
 The index holds the postings of terms that occur in a test item. No other posting can be
@@ -65,23 +66,28 @@ def build_index(docs: DataFrame, words: DataFrame) -> PositionalIndex:
 
 
 def rarest_anchors(index: PositionalIndex, words: DataFrame, window: int) -> DataFrame:
-    """Per item the places that are the rarest of some window, with the stretch those windows span.
+    """Per item the pairs of places that are the two rarest of some window, with the stretch of those windows.
 
-    (item, j, term_id, lo, hi): ``lo`` and ``hi`` are the first and last place of the windows
-    that rely on the anchor. The window over an item is bounded by the item's own words.
+    (item, first, first_term, second, second_term, lo, hi): ``lo`` and ``hi`` are the first and last
+    place of the windows that rely on the pair. A window of one word pairs with itself. The window over
+    an item is bounded by the item's own words.
     """
     often = index.postings.groupBy("term_id").agg(F.count(F.lit(1)).alias("often"))
     known = words.join(index.terms, "term").join(often, "term_id", "left").na.fill(0, ["often"])
     ahead = Window.partitionBy("item").orderBy("j").rowsBetween(0, window - 1)
-    picked = known.select(
-        "item", "n", "j", F.min(F.struct("often", "j", "term_id")).over(ahead).alias("a")
-    ).where(F.col("j") <= F.greatest(F.col("n") - window, F.lit(0)))
+    ranked = F.array_sort(F.collect_list(F.struct("often", "j", "term_id")).over(ahead))
+    picked = known.select("item", "n", "j", ranked.alias("r")).where(F.col("j") <= F.greatest(F.col("n") - window, F.lit(0)))
+    second = F.coalesce(F.get("r", F.lit(1)), F.col("r")[0])
+    picked = picked.select("item", "n", "j", F.col("r")[0].alias("a"), second.alias("b"))
     last = F.least(F.col("j") + window, F.col("n")) - 1
     return (
         picked.where("a.often > 0")
-        .groupBy("item", F.col("a.j").alias("j"), F.col("a.term_id").alias("term_id"))
+        .groupBy(
+            "item", F.col("a.j").alias("first"), F.col("a.term_id").alias("first_term"),
+            F.col("b.j").alias("second"), F.col("b.term_id").alias("second_term"),
+        )
         .agg(F.min("j").alias("lo"), F.max(last).alias("hi"))
-    )
+    )
 
 
 def phrase_matches(index: PositionalIndex, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -91,12 +97,16 @@ def phrase_matches(index: PositionalIndex, items: DataFrame, window: int = WINDO
     """
     words = written(item_words(items).join(index.terms, "term"), "items")
     anchors = written(rarest_anchors(index, words.drop("term_id"), window), "anchors")
-    # the rarest terms' postings, shifted to the place of the item's first word
-    found = (
-        index.postings.join(broadcast_if_small(anchors), "term_id")
-        .select("doc_id", "copy", "item", (F.col("pos") - F.col("j")).alias("diag"), "lo", "hi")
-        .where(F.col("diag") + F.col("lo") >= 0)
-    )
+    # the postings of the two rarest terms, shifted to the place of the item's first word: a pair
+    # stays where both lists have the same diagonal
+    pair = ["item", "first", "second", "lo", "hi"]
+    alone = F.col("first") == F.col("second")
+    sides = anchors.select(
+        *pair, F.col("first_term").alias("term_id"), F.col("first").alias("j"), F.when(alone, 3).otherwise(1).alias("side")
+    ).unionAll(anchors.where(~alone).select(*pair, "second_term", "second", F.lit(2)))
+    shifted = index.postings.join(broadcast_if_small(sides), "term_id").withColumn("diag", F.col("pos") - F.col("j"))
+    met = shifted.groupBy("doc_id", "copy", "diag", *pair).agg(F.bit_or("side").alias("sides"))
+    found = met.where("sides = 3 and diag + lo >= 0")
     # intersect with all other lists: what each diagonal would need, and the postings that meet it
     needs = written(
         found.join(broadcast_if_small(words.select("item", "item_id", "n", "j", "term_id")), "item")
@@ -107,11 +117,11 @@ def phrase_matches(index: PositionalIndex, items: DataFrame, window: int = WINDO
     )
     near = needs.select("doc_id", "copy").distinct()
     postings = index.postings.join(broadcast_if_small(near), _same(index.postings, near), "left_semi")
-    met = needs.join(postings, _same(needs, postings) & (needs.pos == postings.pos) & (needs.term_id == postings.term_id), "left_semi")
+    seen = needs.join(postings, _same(needs, postings) & (needs.pos == postings.pos) & (needs.term_id == postings.term_id), "left_semi")
     # runs of neighbouring places on one diagonal
     line = Window.partitionBy("doc_id", "copy", "item", "diag").orderBy("j")
     runs = (
-        met.withColumn("run", F.col("j") - F.row_number().over(line))
+        seen.withColumn("run", F.col("j") - F.row_number().over(line))
         .groupBy("doc_id", "copy", "item", "item_id", "n", "diag", "run")
         .agg(F.min("pos").alias("start"), F.max("pos").alias("end"))
     )
