@@ -128,33 +128,59 @@ _INDICATORS = " + ".join(
 GUESS = f"CASE WHEN {_INDICATORS} >= 2 THEN 'es' ELSE 'en' END"
 
 
-def _by_lang(pools, choose) -> str:
-    return "CASE lang " + " ".join(f"WHEN '{c}' THEN {choose(v)}" for c, v in pools.items()) + " END"
-
-
-def _value(slot: str, pool) -> str:
-    def choose(values):
-        return pick(values, draw(len(values), slot, *K))
-
-    value = _by_lang(pool, choose) if isinstance(pool, dict) else choose(pool)
-    return f"CASE WHEN contains(tpl, '{{{slot}}}') THEN {value} END AS v_{slot}"
-
-
-_POOLS = {
-    "name": seeding.NAMES, "email": seeding.EMAILS, "phone": seeding.PHONES,
-    "social": seeding.SOCIALS, "address": seeding.ADDRESSES,
-}
-_FILLED = "tpl"
-for _slot in _POOLS:
-    _FILLED = f"replace({_FILLED}, '{{{_slot}}}', coalesce(v_{_slot}, ''))"
+# a template is two or three of the slots; the phrase of each, and the forms of their values
+SLOTS = ("name", "email", "phone", "social", "address")
+_PAIRS = [(a, b) for i, a in enumerate(SLOTS) for b in SLOTS[i + 1:]]
+_TEMPLATES = _PAIRS + [(a, b, c) for i, a in enumerate(SLOTS) for j, b in enumerate(SLOTS[i + 1:], i + 1) for c in SLOTS[j + 1:]]
+
+
+def _form(form: str, slot: str) -> str:
+    digits = f"translate(md5(concat_ws('|', {', '.join(K)}, '{slot}')), 'abcdef', '012345')"
+    out, at, words, rest = [], 1, 0, form
+    while rest:
+        if rest[0] == "#":
+            n = len(rest) - len(rest.lstrip("#"))
+            out.append(f"substr({digits}, {at}, {n})")
+            at, rest = at + n, rest[n:]
+        elif rest.startswith("{word}"):
+            out.append(pick(seeding.WORDS, draw(len(seeding.WORDS), f"{slot}-word{words}", *K)))
+            words, rest = words + 1, rest[6:]
+        else:
+            end = min([i for i in (rest.find("#"), rest.find("{word}")) if i >= 0] or [len(rest)])
+            out.append(text(rest[:end]))
+            rest = rest[end:]
+    return "(" + " || ".join(out) + ")"
+
+
+def _one_of(forms, slot: str) -> str:
+    return f"CASE {draw(len(forms), slot, *K)} " + " ".join(
+        f"WHEN {i} THEN {_form(f, slot)}" for i, f in enumerate(forms)
+    ) + " END"
+
+
+def _slot_value(slot: str) -> str:
+    if slot == "name":
+        one, two = (pick(NAME_BANK, draw(len(NAME_BANK), f"name{i}", *K)) for i in (1, 2))
+        value = f"{one} || ' ' || {two}"
+    elif slot == "address":
+        value = f"CASE lang WHEN 'en' THEN {_one_of(seeding.ADDRESS_FORMS['en'], slot)} ELSE {_one_of(seeding.ADDRESS_FORMS['es'], slot)} END"
+    else:
+        value = _one_of(seeding.FORMS[slot], slot)
+    having = ", ".join(str(i) for i, chosen in enumerate(_TEMPLATES) if slot in chosen)
+    return f"CASE WHEN tpl_no IN ({having}) THEN {value} END AS v_{slot}"
+
+
+_CARRIED = ", ".join(
+    f"CASE lang WHEN 'en' THEN {text(seeding.CARRIERS['en'][s])} ELSE {text(seeding.CARRIERS['es'][s])} END || v_{s}" for s in SLOTS
+)
+_FILLED = f"concat_ws('; ', {_CARRIED})"
 SEEDED = f"""s1 AS (SELECT *, CASE WHEN text <> '' AND {draw(100, 'hit', *K)} < 25 THEN {GUESS} END AS lang
   FROM msg),
-s2 AS (SELECT *, {_by_lang(seeding.TEMPLATES, lambda v: draw(len(v), 'template', *K))} AS tpl_no FROM s1),
-s3 AS (SELECT *, {_by_lang(seeding.TEMPLATES, lambda v: pick(v, 'tpl_no'))} AS tpl FROM s2),
-s4 AS (SELECT *, {', '.join(_value(s, p) for s, p in _POOLS.items())} FROM s3),
-seeded AS (SELECT * REPLACE (CASE WHEN tpl IS NULL THEN text
+s2 AS (SELECT *, CASE WHEN lang IS NOT NULL THEN {draw(len(_TEMPLATES), 'template', *K)} END AS tpl_no FROM s1),
+s3 AS (SELECT *, {', '.join(map(_slot_value, SLOTS))} FROM s2),
+seeded AS (SELECT * REPLACE (CASE WHEN tpl_no IS NULL THEN text
     WHEN {draw(2, 'side', *K)} = 0 THEN {_FILLED} || '. ' || text
-    ELSE text || ' ' || {_FILLED} END AS text) FROM s4)"""
+    ELSE text || ' ' || {_FILLED} END AS text) FROM s3)"""
 
 VALUES = "vals AS (" + " UNION ALL ".join(
     f"SELECT *, '{field}' AS category, v_{slot} AS value FROM {{src}} WHERE v_{slot} IS NOT NULL"
@@ -265,12 +291,15 @@ ORACLE["pii_seed_messages"] = with_(MSG, SEEDED) + (
     + ", ".join(f"v_{s} AS {f}" for s, f in seeding.TRUTH_FIELDS.items())
     + " FROM seeded"
 )
+ORACLE["pii_seed_nested"] = with_(MSG, SEEDED) + (
+    "SELECT conv_id, message_id, text, " + ", ".join(f"v_{s} AS {f}" for s, f in seeding.TRUTH_FIELDS.items()) + " FROM seeded"
+)
 ORACLE["message_language"] = (
     f"SELECT lang, {GUESS} AS guess, count(*) AS n FROM documents GROUP BY ALL"
 )
 ORACLE["seeding_totals"] = with_(MSG, SEEDED) + (
     "SELECT role, count(DISTINCT conv_id) AS conversations, count(*) AS messages, "
-    "count(tpl) AS messages_seeded, round(count(tpl) * 100.0::DOUBLE / count(*), 6) AS percent_seeded, "
+    "count(tpl_no) AS messages_seeded, round(count(tpl_no) * 100.0::DOUBLE / count(*), 6) AS percent_seeded, "
     + ", ".join(f"count(DISTINCT v_{s}) AS distinct_{f}" for s, f in seeding.TRUTH_FIELDS.items())
     + " FROM seeded GROUP BY role"
 )

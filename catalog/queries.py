@@ -146,6 +146,16 @@ def pii_seed_messages(spark, folder):
     )
 
 
+@query
+def pii_seed_nested(spark, folder):
+    done = messages.flatten(seed.seed_nested(_nested(spark, folder), keys=["conv_id"]))
+    truth = [
+        F.try_element_at(F.col(f"message.{redact.TEST_COLUMN}.{f}"), F.lit(1)).alias(f)
+        for f in ("names", "emails", "phones", "socials", "addresses")
+    ]
+    return done.select("conv_id", "message.message_id", "message.text", *truth)
+
+
 @query
 def message_language(spark, folder):
     return derive.documents(spark, folder).groupBy(

@@ -1,4 +1,4 @@
-from hushmark.functions.draws import draw, pick, text_array
+from hushmark.functions.draws import digits_of, draw, draw_of, let, pick, text_array
 from hushmark.functions.text import (
     bar,
     blank,
@@ -14,6 +14,6 @@ from hushmark.functions.text import (
 )
 
 __all__ = [
-    "bar", "blank", "contains_any", "draw", "emoji_count", "guess_language", "issue_type",
-    "matches_labels", "percent", "pick", "question_marks", "sentence_count", "text_array", "whole_words",
+    "bar", "blank", "contains_any", "digits_of", "draw", "draw_of", "emoji_count", "guess_language", "issue_type",
+    "let", "matches_labels", "percent", "pick", "question_marks", "sentence_count", "text_array", "whole_words",
 ]

@@ -2,47 +2,106 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hushmark.functions import blank, draw, guess_language, pick
-from hushmark.operators.redact import TEST_COLUMN
+from hushmark.functions import blank, digits_of, draw_of, guess_language, let, pick
+from hushmark.operators.redact import TEST_COLUMN, message_fields
 from hushmark.plans.once import evaluate_once
 from hushmark.rules import seeding
+from hushmark.rules.pii import NAME_BANK
 
-Pool = Sequence[str] | Mapping[str, Sequence[str]]
-DEFAULT_POOLS: dict[str, Pool] = {
-    "name": seeding.NAMES,
-    "email": seeding.EMAILS,
-    "phone": seeding.PHONES,
-    "social": seeding.SOCIALS,
-    "address": seeding.ADDRESSES,
-}
+MEDIA = ("has_photo", "has_gif")
+#: From a row's language and key to a value.
+Generator = Callable[[Column, Column], Column]
 
 
 def eligible(df: DataFrame, text: str = "text") -> Column:
     """Text is there, and the message carries neither photo nor animation."""
-    media = F.lit(False)
-    for flag in ("has_photo", "has_gif"):
-        if flag in df.columns:
-            media = media | F.coalesce(F.col(flag), F.lit(False))
-    return ~blank(F.col(text)) & ~media
+    return _eligible(F.col(text), [F.col(flag) for flag in MEDIA if flag in df.columns])
 
 
-def _choose(pool: Pool, lang: Column, salt: str, keys: Sequence[str]) -> Column:
-    """A drawn value of the pool, or of the language's pool."""
-    if not isinstance(pool, Mapping):
-        return pick(pool, draw(len(pool), salt, *keys))
-    return _of_language(pool, lang, lambda values: pick(values, draw(len(values), salt, *keys)))
+def _eligible(text: Column, media: Sequence[Column]) -> Column:
+    free = ~blank(text)
+    for flag in media:
+        free = free & ~F.coalesce(flag, F.lit(False))
+    return free
 
 
-def _of_language(
-    pools: Mapping[str, Sequence[str]], lang: Column, choose: Callable[[Sequence[str]], Column]
-) -> Column:
-    branches = [F.when(lang == code, choose(values)) for code, values in pools.items()]
-    return F.coalesce(*branches)
+def fill(form: str, salt: str, key: Column) -> Column:
+    """A form with its digits and words drawn."""
+    digits, at, words, parts = digits_of(salt, key), 1, 0, []
+    for part in re.findall(r"#+|\{word\}|[^#{]+", form):
+        if part[0] == "#":
+            parts.append(F.substring(digits, at, len(part)))
+            at += len(part)
+        elif part == "{word}":
+            parts.append(pick(seeding.WORDS, draw_of(len(seeding.WORDS), f"{salt}-word{words}", key)))
+            words += 1
+        else:
+            parts.append(F.lit(part))
+    return F.concat(*parts)
+
+
+def from_forms(slot: str, forms: Sequence[str]) -> Generator:
+    """A drawn one of the forms, filled."""
+
+    def value(lang: Column, key: Column) -> Column:
+        which = draw_of(len(forms), slot, key)
+        return F.coalesce(*[F.when(which == i, fill(f, slot, key)) for i, f in enumerate(forms)])
+
+    return value
+
+
+def _name(lang: Column, key: Column) -> Column:
+    one = [pick(NAME_BANK, draw_of(len(NAME_BANK), f"name{i}", key)) for i in (1, 2)]
+    return F.concat(one[0], F.lit(" "), one[1])
+
+
+def _address(lang: Column, key: Column) -> Column:
+    forms = seeding.ADDRESS_FORMS.items()
+    return F.coalesce(*[F.when(lang == code, from_forms("address", f)(lang, key)) for code, f in forms])
+
+
+GENERATORS: dict[str, Generator] = {
+    "name": _name,
+    **{slot: from_forms(slot, forms) for slot, forms in seeding.FORMS.items()},
+    "address": _address,
+}
+
+
+def _choices(text: Column, key: Column) -> list[Column]:
+    """Language and template of a message that is seeded."""
+    template = draw_of(len(seeding.TEMPLATES), "template", key)
+    return [guess_language(text).alias("seed_lang"), template.alias("seed_template")]
+
+
+def _values(lang: Column, template: Column, key: Column, generators: Mapping[str, Generator]) -> list[Column]:
+    """A value for each slot that the template has, else null."""
+    found = []
+    for slot in seeding.TRUTH_FIELDS:
+        having = [i for i, chosen in enumerate(seeding.TEMPLATES) if slot in chosen]
+        found.append(F.when(template.isin(having), generators[slot](lang, key)).alias(slot))
+    return found
+
+
+def _written(text: Column, lang: Column, key: Column, value: Callable[[str], Column]) -> Column:
+    """The text with its values, before or after."""
+    carried = []
+    for slot in seeding.TRUTH_FIELDS:
+        phrase = F.coalesce(*[F.when(lang == code, c[slot]) for code, c in seeding.CARRIERS.items()])
+        carried.append(F.concat(phrase, value(slot)))
+    added = F.concat_ws(seeding.JOIN, *carried)
+    before = draw_of(2, "side", key) == 0
+    return F.when(before, F.concat(added, F.lit(". "), text)).otherwise(F.concat(text, F.lit(" "), added))
+
+
+def _truth(value: Callable[[str], Column]) -> Column:
+    fields = seeding.TRUTH_FIELDS.items()
+    return F.struct(*[F.array_compact(F.array(value(slot))).alias(field) for slot, field in fields])
 
 
 def seed_messages(
@@ -50,67 +109,82 @@ def seed_messages(
     keys: Sequence[str],
     text: str = "text",
     percent: int = seeding.SEED_PERCENT,
-    templates: Mapping[str, Sequence[str]] = seeding.TEMPLATES,
-    pools: Mapping[str, Pool] = DEFAULT_POOLS,
+    generators: Mapping[str, Generator] = GENERATORS,
 ) -> DataFrame:
     """Add fake personal data to ``percent`` of the eligible messages.
 
-    The language picks the template, the template's slots are filled from the pools,
-    and the result goes before or after the text.  ``_test_pii_added`` records what
-    was added, null elsewhere; ``seeded``, ``seed_lang`` and ``seed_template`` say
-    where and how.  All choices are drawn from ``keys``, so they do not change when a
-    task runs again.
+    A drawn template says which slots are filled; each gets a generated value behind its
+    carrier phrase in the message's language, before or after the text.
+    ``_test_pii_added`` records what was added, null elsewhere; ``seeded``,
+    ``seed_lang`` and ``seed_template`` say where and how.  All choices are drawn from
+    ``keys``, so they do not change when a task runs again.
     """
-    lang, template = F.col("seed_lang"), F.col("_template")
-    hit = eligible(df, text) & (draw(100, "hit", *keys) < percent)
-
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    hit = eligible(df, text) & (draw_of(100, "hit", key) < percent)
     step = df.withColumn("seeded", hit)
-    step = evaluate_once(
-        step, F.when(F.col("seeded"), guess_language(F.col(text))).alias("seed_lang")
-    )
-    step = step.withColumn(
-        "seed_template",
-        _of_language(templates, lang, lambda options: draw(len(options), "template", *keys)),
-    )
     step = evaluate_once(
         step,
-        _of_language(
-            templates, lang, lambda options: pick(options, F.col("seed_template"))
-        ).alias("_template"),
-    )
-    slots = [
-        F.when(
-            F.contains(template, F.lit("{" + slot + "}")), _choose(pools[slot], lang, slot, keys)
-        ).alias(f"_{slot}")
-        for slot in seeding.TRUTH_FIELDS
-    ]
-    step = evaluate_once(step, *slots)
-
-    filled = template
-    for slot in seeding.TRUTH_FIELDS:
-        value = F.coalesce(f"_{slot}", F.lit(""))
-        filled = F.replace(filled, F.lit("{" + slot + "}"), value)
-    before = draw(2, "side", *keys) == 0
-    seeded_text = F.when(before, F.concat(filled, F.lit(". "), F.col(text))).otherwise(
-        F.concat(F.col(text), F.lit(" "), filled)
-    )
-    truth = F.struct(
-        *[
-            F.array_compact(F.array(f"_{slot}")).alias(field)
-            for slot, field in seeding.TRUTH_FIELDS.items()
-        ]
+        *[F.when(F.col("seeded"), c).alias(n) for c, n in zip(_choices(F.col(text), key), ("seed_lang", "seed_template"), strict=True)],
     )
+    lang = F.col("seed_lang")
+    values = _values(lang, F.col("seed_template"), key, generators)
+    step = evaluate_once(step, F.struct(*values).alias("_values"))
+
+    def value(slot: str) -> Column:
+        return F.col(f"_values.{slot}")
+
     others = [c for c in df.columns if c not in (text, TEST_COLUMN)]
+    written = _written(F.col(text), lang, key, value)
     return step.select(
         *others,
-        F.when(F.col("seeded"), seeded_text).otherwise(F.col(text)).alias(text),
-        F.when(F.col("seeded"), truth).alias(TEST_COLUMN),
+        F.when(F.col("seeded"), written).otherwise(F.col(text)).alias(text),
+        F.when(F.col("seeded"), _truth(value)).alias(TEST_COLUMN),
         "seeded",
         "seed_lang",
         "seed_template",
     )
 
 
+def seed_nested(
+    conversations: DataFrame,
+    keys: Sequence[str] | None = None,
+    messages: str = "messages",
+    percent: int = seeding.SEED_PERCENT,
+    generators: Mapping[str, Generator] = GENERATORS,
+) -> DataFrame:
+    """Seed nested conversations in place: same rows, same fields, and the truth in each message.
+
+    Draws come from ``keys`` and the message's position; without keys, from the whole content
+    of the conversation, so conversations need no id.  Nothing is shuffled.
+    """
+    fields = message_fields(conversations, messages)
+    if "text" not in fields:
+        raise ValueError(f"no text in {messages}")
+    own = [F.col(k).cast("string") for k in keys] if keys else [F.md5(F.to_json(F.struct(*conversations.columns)))]
+    step = conversations.withColumn("_key", F.concat_ws("|", *own))
+    first = F.col("pos_offset") if "pos_offset" in conversations.columns else F.lit(0)
+    truth_type = "struct<" + ",".join(f"{f}:array<string>" for f in seeding.TRUTH_FIELDS.values()) + ">"
+
+    def one(message: Column, i: Column) -> Column:
+        text, key = message["text"], F.concat_ws("|", F.col("_key"), (i + first).cast("string"))
+        hit = _eligible(text, [message[f] for f in MEDIA if f in fields]) & (draw_of(100, "hit", key) < percent)
+
+        def filled(c: Column) -> Column:
+            lang = c["seed_lang"]
+
+            def put(v: Column) -> Column:
+                written = _written(text, lang, key, lambda slot: v[slot])
+                return message.withField("text", written).withField(TEST_COLUMN, _truth(lambda slot: v[slot]).cast(truth_type))
+
+            return let(F.struct(*_values(lang, c["seed_template"], key, generators)), put)
+
+        return F.when(hit, let(F.struct(*_choices(text, key)), filled)).otherwise(
+            message.withField(TEST_COLUMN, F.lit(None).cast(truth_type))
+        )
+
+    return step.withColumn(messages, F.transform(messages, one)).drop("_key")
+
+
 def only_seeded(df: DataFrame) -> DataFrame:
     """Seeded rows; by the flag where it is kept, else by the recorded truth."""
     return df.where(F.col("seeded") if "seeded" in df.columns else F.col(TEST_COLUMN).isNotNull())

@@ -9,25 +9,55 @@ from pyspark.sql import types as T
 from hushmark.config import JobConfig
 from hushmark.operators import review
 from hushmark.operators.guidelines import vocabulary
-from hushmark.operators.messages import flatten, nest, nested_within_length
+from hushmark.operators.messages import flatten, nested_within_length
 from hushmark.operators.redact import (
     TEST_COLUMN,
     message_fields,
     redact_nested,
     statistics,
 )
-from hushmark.operators.seed import seed_messages, seeding_details, seeding_totals
+from hushmark.operators.seed import seed_nested, seeding_details, seeding_totals
 from hushmark.plans import reports
 from hushmark.rules.pii import PII_RULES, PiiRule, select_rules
 from hushmark.sources.corpus import (
     SOURCE,
+    files_without_messages,
     read_corpus,
+    read_corpus_by_file,
     write_corrections,
     write_json,
     write_label_tasks,
 )
 
 
+def checked_corpus(
+    spark: SparkSession,
+    source: str,
+    out: str,
+    schema: T.StructType | None,
+    multi_line: bool,
+    on_bad: str,
+    mode: str,
+    pattern: str = "*.json",
+) -> DataFrame:
+    """The corpus of a job.
+
+    A file that is malformed or in which nothing has messages is an error, or with
+    ``on_bad="reject"`` a row ``path, reason`` in ``<out>/rejected`` while the others go on.
+    """
+    if on_bad == "reject":
+        corpus, rejected = read_corpus_by_file(spark, source, pattern, schema, multi_line)
+        write_json(rejected, f"{out}/rejected", mode=mode)
+        return corpus
+    if on_bad != "fail":
+        raise ValueError(f"on_bad: {on_bad}; known: fail, reject")
+    corpus = read_corpus(spark, source, pattern, schema, multi_line)
+    odd = [r[SOURCE] for r in files_without_messages(corpus).limit(5).collect()]
+    if odd:
+        raise ValueError(f"no conversation with messages in {', '.join(odd)}")
+    return corpus
+
+
 def message_rows(conversations: DataFrame) -> DataFrame:
     """Messages of a nested corpus as flat rows: the conversation's fields, ``pos``, and the
     message's fields, which win where names clash."""
@@ -45,20 +75,23 @@ def redact_corpus(
     schema: T.StructType | None = None,
     multi_line: bool = True,
     mode: str = "errorifexists",
+    entities: str | None = None,
+    on_bad: str = "fail",
 ) -> DataFrame:
     """Redact every file of a corpus; returns the per-file summary.
 
     The patterns run once: into ``<out>/redacted`` (parquet, with counts).  From there
     come ``<out>/conversations``, JSON lines in the input's nested shape, and
-    ``<out>/summary``, which reads the count columns alone.
+    ``<out>/summary``, which reads the count columns alone.  ``entities`` is a message field
+    with person names; ``on_bad`` as in ``checked_corpus``.
     """
-    corpus = read_corpus(spark, source, schema=schema, multi_line=multi_line)
-    done = redact_nested(corpus, rules=rules, counts=True)
+    corpus = checked_corpus(spark, source, out, schema, multi_line, on_bad, mode)
+    done = redact_nested(corpus, rules=rules, counts=True, entities=entities)
     done.write.mode(mode).parquet(f"{out}/redacted")
     written = spark.read.parquet(f"{out}/redacted")
     kept = [c for c in corpus.columns if c != SOURCE]
     write_json(written.select(*kept), f"{out}/conversations", mode=mode)
-    summary = statistics(written, SOURCE)
+    summary = statistics(written, SOURCE, rules=rules).withColumn("output", F.lit(f"{out}/conversations"))
     write_json(summary, f"{out}/summary", keep_nulls=True, mode=mode)
     return summary
 
@@ -70,43 +103,47 @@ def seed_corpus(
     schema: T.StructType | None = None,
     multi_line: bool = True,
     mode: str = "errorifexists",
+    on_bad: str = "fail",
 ) -> tuple[DataFrame, DataFrame]:
-    """Seed the messages of a corpus; returns the totals and the seeded values per file.
+    """Seed the messages of a corpus in place; returns the totals and the seeded values per file.
 
-    ``<out>/conversations`` has the input's shape plus the truth, ready for
-    ``redact_corpus(..., multi_line=False)``.  Conversations are told apart by their
-    own fields and their file.
+    ``<out>/conversations`` has the input's rows and fields plus the truth, ready for
+    ``redact_corpus(..., multi_line=False)``.  ``<out>/totals`` and ``<out>/values`` are per file,
+    ``<out>/report`` is one record over all files.
     """
-    corpus = read_corpus(spark, source, schema=schema, multi_line=multi_line)
-    fields = message_fields(corpus)
-    if "text" not in fields:
+    corpus = checked_corpus(spark, source, out, schema, multi_line, on_bad, mode)
+    if "text" not in message_fields(corpus):
         raise ValueError(f"no message with text in {source}")
-    flags = [f for f in ("text", "has_photo", "has_gif") if f in fields]
-    flat = flatten(corpus).select(
-        F.struct(*[c for c in corpus.columns if c != "messages"]).alias("conversation"),
-        SOURCE, "pos", "message", *[F.col(f"message.{f}").alias(f) for f in flags],
-    )
-    keyed = flat.withColumn("_key", F.to_json("conversation"))
-    seeded = seed_messages(keyed, ["_key", "pos"]).drop("_key", *flags[1:])
-    seeded.write.mode(mode).parquet(f"{out}/seeded")
-
+    seed_nested(corpus).write.mode(mode).parquet(f"{out}/seeded")
     written = spark.read.parquet(f"{out}/seeded")
-    changed = F.col("message").withField("text", F.col("text")).withField(
-        TEST_COLUMN, F.col(TEST_COLUMN)
-    )
-    nested = nest(written.withColumn("message", changed), ["conversation"])
-    whole = nested.select("conversation.*", "part", "messages").drop(SOURCE)
-    write_json(whole, f"{out}/conversations", mode=mode)
+    write_json(written.drop(SOURCE), f"{out}/conversations", mode=mode)
 
-    totals = seeding_totals(written, SOURCE, position="pos").withColumn(
+    flat = flatten(written.select(SOURCE, "messages")).select(
+        SOURCE, "pos", F.col(f"message.{TEST_COLUMN}").alias(TEST_COLUMN)
+    )
+    totals = seeding_totals(flat, SOURCE, position="pos").withColumn(
         "seeded_at", F.current_timestamp()
     )
-    details = seeding_details(written, SOURCE)
+    details = seeding_details(flat, SOURCE)
     write_json(totals, f"{out}/totals", keep_nulls=True, mode=mode)
     write_json(details, f"{out}/values", mode=mode)
+    write_json(seeding_report(totals), f"{out}/report", keep_nulls=True, mode=mode)
     return totals, details
 
 
+def seeding_report(totals: DataFrame) -> DataFrame:
+    """One record over the per-file totals: files, conversations, messages, those seeded and their share."""
+    messages, seeded = F.sum("messages"), F.sum("messages_seeded")
+    return totals.agg(
+        F.count(F.lit(1)).alias("files_processed"),
+        F.sum("conversations").alias("conversations"),
+        messages.alias("messages"),
+        seeded.alias("messages_seeded"),
+        F.when(messages > 0, seeded * 100.0 / messages).alias("percent_seeded"),
+        F.max("seeded_at").alias("seeded_at"),
+    )
+
+
 def review_annotations(
     spark: SparkSession, annotations: DataFrame, out: str, mode: str = "errorifexists"
 ) -> DataFrame:
@@ -131,13 +168,16 @@ def prepare_corpus(
     schema: T.StructType | None = None,
     multi_line: bool = True,
     mode: str = "errorifexists",
+    on_bad: str = "fail",
 ) -> DataFrame:
     """Redact the configured categories in conversations of the configured length.
 
     Writes ``<out>/redacted``, and from it the labelling tasks, the vocabulary and the
     run record; returns the run record.
     """
-    corpus = read_corpus(spark, config.raw_data_path, config.file_pattern, schema, multi_line)
+    corpus = checked_corpus(
+        spark, config.raw_data_path, out, schema, multi_line, on_bad, mode, config.file_pattern
+    )
     kept = nested_within_length(corpus, config.min_messages, config.max_messages)
     rules = select_rules(config.categories)
     redact_nested(kept, rules=rules, counts=True).write.mode(mode).parquet(f"{out}/redacted")

@@ -1,79 +1,25 @@
-"""Templates and value pools for seeding messages with fake personal data.
+"""How messages are seeded with fake personal data.
 
-The wording is ours; which slots a template fills, and which value formats occur,
-follows the seeding task: ten English and seven Spanish templates, 20 names, 11
-e-mails, ten phones, ten handles, four US and two Mexican addresses.  Pools hold
-some values that the redaction rules are known to miss (a seven-digit number, and
-addresses whose number follows the street), so that recall is measured honestly.
+Values are generated, not listed: names pair two entries of the rules' name bank, and the other
+kinds fill a few forms with drawn digits and words. A template is a choice of slots; every slot has
+one carrier phrase per language. Some forms are ones that the redaction rules are known to miss (a
+seven-digit number, an address whose number follows the street), so that recall is measured honestly.
+
+In a form ``#`` is a drawn digit and ``{word}`` a drawn word.
 """
 
 from __future__ import annotations
 
-# Language indicators, and the share and sides of the seeding draw.
+from itertools import combinations
+
+# Language indicators, and the share of the seeding draw.
 SPANISH_INDICATORS = (
     "hola", "que", "como", "estas", "gracias", "por", "para", "con", "los", "las",
 )
 SPANISH_AT_LEAST = 2
 SEED_PERCENT = 25
 
-TEMPLATES = {
-    "en": (
-        "Hello, this is {name}; my number is {phone} and my mail is {email}",
-        "You are talking to {name}. A text to {phone} works best",
-        "Write to {email}, or look for {social}",
-        "I post as {social} and answer calls on {phone}",
-        "{name} gave me your contact. They pick up at {phone}",
-        "A friend called {name} said I should write to {email}",
-        "Come by {address}. {name} will be at the door",
-        "We moved to {address}, new mail: {email}",
-        "This is {name}, mobile: {phone}, mail: {email}, profile {social}",
-        "To book, ask {name} on {phone} or via {email}",
-    ),
-    "es": (
-        "Buenas, habla {name}, mi número es {phone} y mi correo {email}",
-        "Les escribe {name}. Respondo llamadas al {phone}",
-        "Escriban a {email}, o busquen mi perfil {social}",
-        "Publico como {social} y contesto en el {phone}",
-        "{name} me pasó su contacto. Contesta en el {phone}",
-        "Estamos en {address}. Los recibe {name}",
-        "Aquí {name}, móvil: {phone}, correo: {email}, perfil {social}",
-    ),
-}
-NAMES = {
-    "en": (
-        "John Smith", "Mary Johnson", "David Brown", "Jennifer Davis",
-        "Michael Taylor", "Sarah Anderson", "Robert White", "Lisa Thompson",
-        "Dr. Andrew Wilson", "Dr. Jessica Miller", "James Garcia", "Emily Martinez",
-    ),
-    "es": (
-        "Juan Pérez", "María García", "Carlos López", "Ana Martínez",
-        "Pedro Rodríguez", "Laura Sánchez", "Dr. Miguel González", "Dra. Isabel Hernández",
-    ),
-}
-EMAILS = (
-    "j.smith77@example.com", "first.last@example.org", "walk-in@example.net",
-    "mary_j@example.com", "desk@clinic.example", "news@city-lab.example",
-    "brown+work@example.org", "bookings@front-desk.example",
-    "cliente42@example.com", "ana.garcia@example.mx", "citas@salud-norte.example.mx",
-)
-PHONES = (
-    "555-234-8765", "(312) 555-0147", "+1 312 555 4410", "312.555.4410",
-    "Reach me on: 555-9182", "Cell: 312-555-7001", "3125557001",
-    "+52 871 555 4433", "871-555-0190", "WhatsApp: +52 871 555 2211",
-)
-SOCIALS = (
-    "@smith_outdoors", "@slowcooking", "IG: @trail_runner", "@davis_art",
-    "Instagram: @clay_studio", "Twitter: @rain_report", "@guest90210",
-    "FB: Sarah Anderson", "Snap: brownbear12", "@lopez_fotos_mx",
-)
-ADDRESSES = {
-    "en": (
-        "18 Cedar Street, Unit 3", "902 Lake Avenue, Ohio 44101",
-        "77 Mill Drive, Floor 2", "5 Birch Street, Salem OR",
-    ),
-    "es": ("Calle Reforma 88, Col. Norte", "Av. Hidalgo #210, CP 31000"),
-}
-# placeholder -> field of the recorded truth
+# slot -> field of the recorded truth
 TRUTH_FIELDS = {
     "name": "names",
     "email": "emails",
@@ -81,3 +27,31 @@ TRUTH_FIELDS = {
     "social": "socials",
     "address": "addresses",
 }
+# A template is two or three of the slots, in this order.
+TEMPLATES = tuple(chosen for n in (2, 3) for chosen in combinations(TRUTH_FIELDS, n))
+CARRIERS = {
+    "en": {
+        "name": "ask for ", "email": "write ", "phone": "ring ", "social": "look up ", "address": "deliver to ",
+    },
+    "es": {
+        "name": "pregunta por ", "email": "escribe a ", "phone": "marca ", "social": "busca ", "address": "entrega en ",
+    },
+}
+JOIN = "; "
+
+FORMS = {
+    "email": ("{word}##@example.com", "{word}.{word}@mail.example.org", "{word}_#@example.net", "{word}+list@correo.example.mx"),
+    "phone": (
+        "###-###-####", "(###) ###-####", "###.###.####", "##########", "+## ### ### ####",
+        "Cell: ###-###-####", "###-####",
+    ),
+    "social": ("@{word}##", "IG: @{word}_{word}", "Snap: {word}###", "Twitter: @{word}#"),
+}
+ADDRESS_FORMS = {
+    "en": ("## {word} Lane", "### {word} Boulevard", "# {word} Court"),
+    "es": ("## {word} Plaza", "Calle {word} ###", "Avenida {word} ##"),
+}
+WORDS = (
+    "kestrel", "juniper", "tidepool", "lantern", "quarry", "cobalt", "saffron", "bramble",
+    "meridian", "thicket", "gannet", "ember",
+)

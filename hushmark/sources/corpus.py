@@ -106,6 +106,41 @@ def files_without_messages(conversations: DataFrame) -> DataFrame:
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_corpus_by_file(
+    spark: SparkSession,
+    paths: str | list[str],
+    pattern: str = "*.json",
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """The conversations of well-shaped files, and the other files as ``(path, reason)``.
+
+    A file with a malformed record is ``malformed``; one in which nothing has messages has
+    ``no messages``.  Such a file is left out as a whole, and the rest is read on.
+    """
+    reader = spark.read.option("multiLine", multi_line).option("pathGlobFilter", pattern).option("mode", "PERMISSIVE")
+    if schema is None:
+        schema = reader.option("columnNameOfCorruptRecord", CORRUPT).json(paths).schema
+    fields = [f for f in schema.fields if f.name != CORRUPT]
+    if "messages" not in [f.name for f in fields]:
+        fields = [*fields, T.StructField("messages", T.ArrayType(MESSAGE))]  # no file has any: all are told
+    whole = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    rows = (
+        reader.schema(whole)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(paths)
+        .select("*", F.col("_metadata.file_path").alias(SOURCE))
+    )
+    shape = rows.groupBy(SOURCE).agg(F.count(CORRUPT).alias("_bad"), F.count("messages").alias("_with"))
+    reason = F.when(F.col("_bad") > 0, "malformed").when(F.col("_with") == 0, "no messages")
+    rejected = shape.select(F.col(SOURCE).alias("path"), reason.alias("reason")).where("reason is not null")
+    good = rows.drop(CORRUPT).join(rejected, F.col(SOURCE) == F.col("path"), "left_anti")
+    return good, rejected
+
+
 def read_annotations(
     spark: SparkSession, paths: str | list[str], multi_line: bool = True
 ) -> DataFrame:

@@ -291,3 +291,30 @@ def test_statistics_shuffle_counts_and_not_text(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "t"))
     plan = executed_plan(redact.statistics(redact.redact_messages(df), "source"))
     assert plan.count("Exchange") == 1 and "partial_sum" in plan
+
+
+def test_own_rules_count(spark):
+    rules = (PiiRule("idcard", r"\b[A-Z]{2}\d{6}\b", "[ID]"), PiiRule("site", "www", "[W]", counted=False))
+    df = spark.createDataFrame([("AB123456 and www", "s"), ("none", "s")], "text string, source string")
+    done = redact.redact_messages(df, rules=rules)
+    row = done.orderBy("text").first()
+    assert (row["text"], row["n_idcard"], row["_pii_removed_count"], row["_anonymized"]) == ("[ID] and [W]", 1, 1, True)
+    (total,) = redact.statistics(done, "source", rules=rules).collect()
+    assert total.asDict() == {"source": "s", "idcard_removed": 1, "total_removed": 1}
+    nested_rows = df.selectExpr("array(struct(text)) as messages")
+    (first, _) = redact.redact_nested(nested_rows, rules=rules, counts=True).orderBy("n_idcard", ascending=False).collect()
+    assert (first["_pii_removed_count"], first["messages"][0]["_pii_removed_count"]) == (1, 1)
+
+
+def test_entities_of_nested_messages(spark):
+    message = "struct<text:string,people:array<string>>"
+    rows = [([("Zoe Q met Zoe", ["Zoe", "Zoe Q"]), ("", ["Zoe"]), ("John Smith", None)],)]
+    df = spark.createDataFrame(rows, f"messages array<{message}>")
+    (done,) = redact.redact_nested(df, entities="people", counts=True).collect()
+    assert [m["text"] for m in done["messages"]] == ["[NAME_REMOVED] met [NAME_REMOVED]", "", "[NAME_REMOVED]"]
+    assert [m["_pii_removed_count"] for m in done["messages"]] == [2, None, 1]
+    assert (done["n_name"], done["_pii_removed_count"]) == (3, 3)
+    only = redact.redact_nested(df, rules=(), entities="people", counts=True).first()
+    assert (only["n_name"], only["_pii_removed_count"]) == (2, 2)
+    with pytest.raises(ValueError, match="nobody"):
+        redact.redact_nested(df, entities="nobody")

@@ -108,6 +108,51 @@ def test_seeded_corpus_goes_on_to_redaction(spark, folder, tmp_path):
     assert not any("_test_pii_added" in m for c in clean for m in c.get("messages", []))
 
 
+def test_seeding_keeps_conversations_without_ids(spark, tmp_path):
+    talks = [{"messages": [{"text": "one"}]}, {"messages": [{"text": "two"}, {"text": "three", "author": "x"}]}]
+    (tmp_path / "a.json").write_text(json.dumps(talks))
+    (tmp_path / "b.json").write_text(json.dumps({"messages": [{"text": "four"}]}))
+    out = str(tmp_path / "out")
+    totals, _ = jobs.seed_corpus(spark, str(tmp_path), out)
+    got = {r["source_file"].rsplit("/", 1)[1]: (r["conversations"], r["messages"]) for r in totals.collect()}
+    assert got == {"a.json": (2, 3), "b.json": (1, 1)}
+    lines = read_lines(spark, f"{out}/conversations")
+    assert sorted(len(c["messages"]) for c in lines) == [1, 1, 2]
+    assert all(set(c) == {"messages"} for c in lines)
+    assert {k for c in lines for m in c["messages"] for k in m} <= {"text", "author", "_test_pii_added"}
+    (report,) = read_lines(spark, f"{out}/report")
+    assert (report["files_processed"], report["conversations"], report["messages"]) == (2, 3, 4)
+
+
+def test_badly_shaped_files_are_told(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "good.json").write_text(json.dumps([conversation(1), conversation(2)]))
+    (source / "odd.json").write_text('{"talks": []}')
+    (source / "broken.json").write_text('{"messages": [')
+    for schema in (None, corpus.CORPUS):
+        out = str(tmp_path / f"out{schema is None}")
+        summary = jobs.redact_corpus(spark, str(source), out, on_bad="reject", schema=schema).collect()
+        assert [r["source_file"].rsplit("/", 1)[1] for r in summary] == ["good.json"]
+        assert summary[0]["output"] == f"{out}/conversations"
+        rejected = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in read_lines(spark, f"{out}/rejected")}
+        assert rejected == {"odd.json": "no messages", "broken.json": "malformed"}
+        assert len(read_lines(spark, f"{out}/conversations")) == 2
+    totals, _ = jobs.seed_corpus(spark, str(source), str(tmp_path / "s"), on_bad="reject")
+    assert totals.count() == 1
+    (source / "broken.json").unlink()
+    with pytest.raises(ValueError, match="odd.json"):
+        jobs.redact_corpus(spark, str(source), str(tmp_path / "f"))
+    with pytest.raises(ValueError, match="on_bad"):
+        jobs.redact_corpus(spark, str(source), str(tmp_path / "g"), on_bad="skip")
+
+
+def test_label_tasks_keep_all_keys(spark):
+    rows = spark.createDataFrame([([("t",)], "x", 1)], "messages array<struct<text:string>>, topic string, n int")
+    (task,) = corpus.label_tasks(rows).collect()
+    assert task["data"].asDict(True) == {"messages": [{"text": "t"}]} and task["meta"].asDict() == {"topic": "x", "n": 1}
+
+
 def test_corpus_whose_arrays_are_all_empty(spark, tmp_path):
     (tmp_path / "e.json").write_text('[{"conversation_id": "a", "messages": []}]')
     summary = jobs.redact_corpus(spark, str(tmp_path / "e.json"), str(tmp_path / "out")).collect()
