@@ -181,9 +181,8 @@ def redact_nested(
         zeros = [*names, "_pii_removed_count"] if counts else []
         return conversations.withColumns({c: F.lit(0) for c in zeros})
 
-    state = F.transform(
-        F.col(messages), lambda m: F.struct(m.alias("message"), m["text"].alias("text"))
-    )
+    # the steps carry text and counts alone; the messages come back in once, at the end
+    state = F.transform(F.col(messages), lambda m: F.struct(m["text"].alias("text")))
     done: list[str] = []
     for rule in rules:
         name = count_column(rule.category)
@@ -191,13 +190,14 @@ def redact_nested(
         done.append(name)
         state = F.transform(state, _nested_replace(rule, tuple(done)))
     if entities is not None:
-        state = F.transform(state, _nested_entities(entities, tuple(done)))
+        state = F.zip_with(F.col(messages), state, _nested_entities(entities, tuple(done)))
         done = names
 
     step = conversations.withColumn("_state", state)
     counted = [count_column(c) for c in counted_categories(rules, entities is not None)]
     step = step.withColumn(
-        messages, F.transform("_state", lambda s: _nested_result(s, fields, counted))
+        messages,
+        F.zip_with(F.col(messages), F.col("_state"), lambda m, s: _nested_result(m, s, fields, counted)),
     )
     if counts:
         for name in done:
@@ -207,15 +207,14 @@ def redact_nested(
     return step.drop("_state")
 
 
-def _nested_entities(entities: str, done: tuple[str, ...]) -> Callable[[Column], Column]:
-    def step(s: Column) -> Column:
-        names, text = s["message"][entities], s["text"]
+def _nested_entities(entities: str, done: tuple[str, ...]) -> Callable[[Column, Column], Column]:
+    def step(message: Column, s: Column) -> Column:
+        names, text = message[entities], s["text"]
         present = names.isNotNull() & ~blank(text)
         own = F.when(present, F.size(names)).otherwise(0)
         before = s["n_name"] if "n_name" in done else F.lit(0)
         others = [s[c].alias(c) for c in done if c != "n_name"]
         return F.struct(
-            s["message"].alias("message"),
             F.when(present, replace_entities(text, names)).otherwise(text).alias("text"),
             (before + own).alias("n_name"),
             *others,
@@ -232,7 +231,7 @@ def _array_sum(values: Column) -> Column:
 def _nested_count(rule: PiiRule, done: tuple[str, ...]) -> Callable[[Column], Column]:
     def step(s: Column) -> Column:
         found = count_matches(s["text"], rule).alias(count_column(rule.category))
-        return F.struct(*[s[c].alias(c) for c in ("message", "text", *done)], found)
+        return F.struct(*[s[c].alias(c) for c in ("text", *done)], found)
 
     return step
 
@@ -241,13 +240,12 @@ def _nested_replace(rule: PiiRule, done: tuple[str, ...]) -> Callable[[Column],
     def step(s: Column) -> Column:
         text = replace_matches(s["text"], rule, s[count_column(rule.category)])
         counts = [s[c].alias(c) for c in done]
-        return F.struct(s["message"].alias("message"), text.alias("text"), *counts)
+        return F.struct(text.alias("text"), *counts)
 
     return step
 
 
-def _nested_result(s: Column, fields: list[str], counted: list[str]) -> Column:
-    message = s["message"]
+def _nested_result(message: Column, s: Column, fields: list[str], counted: list[str]) -> Column:
     changed = F.coalesce(s["text"] != message["text"], F.lit(False))
     total = reduce(add, [s[c] for c in counted], F.lit(0))
     result = (
