@@ -117,3 +117,50 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def oracle() -> str:
+    """DuckDB SQL for the query: every match of every rule, and containment by comparing all in a document."""
+
+    def quoted(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    values = ",\n".join(
+        f"({r.number}, {quoted(r.label)}, {r.priority}, {r.score}::DOUBLE, {quoted(r.keyword)}, {quoted(r.pattern)})" for r in rules()
+    )
+    phrases = ", ".join(f"({quoted(p)}, {quoted(label)})" for p, label in BASE)
+    return rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+phrases(phrase, label) AS (VALUES {phrases}),
+places AS (
+  SELECT doc_id, label, i - 1 AS place FROM (
+    SELECT doc_id, label, phrase, w, len(string_split(phrase, ' ')) AS k, unnest(range(1, len(w) + 1)) AS i FROM w, phrases)
+  WHERE array_to_string(w[i:i + k - 1], ' ') = phrase),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id),
+rules(number, label, priority, score, keyword, pattern) AS (VALUES {values}),
+told AS (SELECT doc_id, '<' || array_to_string(w, ' <') || ' ' AS told FROM w WHERE len(w) > 0),
+hits AS (
+  SELECT doc_id, number, label, priority, score, regexp_extract_all(told, pattern) AS h, string_split_regex(told, pattern) AS g
+  FROM told JOIN rules ON contains(told, '<' || keyword || ' ') WHERE regexp_matches(told, pattern)),
+each AS (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM hits),
+found AS (
+  SELECT doc_id, number, label, priority, score,
+         len(string_split(array_to_string(g[1:i], '') || array_to_string(h[1:i - 1], ''), '<')) - 1 AS a,
+         len(string_split(h[i], '<')) - 1 AS n FROM each),
+kept AS (
+  SELECT * FROM found f WHERE NOT EXISTS (
+    SELECT 1 FROM found o WHERE o.doc_id = f.doc_id AND o.a <= f.a AND o.a + o.n >= f.a + f.n
+      AND (o.priority > f.priority OR o.priority = f.priority AND (o.n > f.n OR o.n = f.n AND o.number < f.number)))),
+named AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (
+    SELECT doc_id, label FROM kept UNION ALL SELECT doc_id, label FROM places) GROUP BY doc_id),
+best AS (SELECT doc_id, max(score) AS score, count(*) AS n_matches FROM kept GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       greatest(coalesce(score, 0), CASE WHEN n_base > 0 THEN {BASE_SCORE}::DOUBLE ELSE 0 END) AS score, coalesce(n_matches, 0) AS n_matches
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN best USING (doc_id)
+"""

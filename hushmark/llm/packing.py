@@ -2,8 +2,8 @@
 
 A document longer than the context is cut into full windows; what is left is one piece. Pieces
 are routed to tiers by their length (256, 512, 1024, 2048 tokens). Tiers are packed from the
-longest down: each piece of a tier opens a window, and the gap is filled from its own and the
-shorter tiers, the longest piece that fits first.
+longest down: each piece of a tier (or as many alike as fit) opens a window, and the gap is filled
+from its own and the shorter tiers, the longest piece that fits first.
 
 Which pieces share a window depends on their lengths alone, so packing is planned on the counts
 per length, at most one number for each length up to the context, whatever the corpus holds.
@@ -12,7 +12,9 @@ task and length, so no length is ever gathered, and documents never leave the ro
 Sequences of one pattern are dealt out over the step groups, which therefore hold the same
 mixture of tiers and nearly the same number of tokens.
 
-The ids are made once, in place; only lengths and checksums are kept.
+The ids are made once, in place; only lengths and checksums are kept. Where whole pieces leave too
+much padding (a corpus without short pieces to fill gaps with), the pieces are made anew, cut at the
+tiers' lengths, and the better plan is taken.
 
 Defined results: a null text is an empty one, a single end token; repeated rows are packed each;
 ties go to the earlier task and row.
@@ -38,6 +40,7 @@ CONTEXT = 2048
 TIERS = (256, 512, 1024, 2048)
 END = 1
 STEP = 256
+FILLED = 0.97
 
 
 @functools.lru_cache(maxsize=4)
@@ -53,11 +56,24 @@ def encoder(path: str):
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
-def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end: int = END) -> DataFrame:
+def cuts(n: int, tiers: tuple[int, ...], whole: bool) -> list[int]:
+    """The lengths of the pieces of a document of ``n`` tokens.
+
+    Full windows and one rest, or, if it needn't stay whole, the rest cut into the lengths of tiers.
+    """
+    context, found = max(tiers), []
+    for size in (context,) if whole else sorted(tiers, reverse=True):
+        found += [size] * (n // size)
+        n %= size
+    return found + [n] * bool(n)
+
+
+def pieces(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, end: int = END, whole: bool = True) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, task, local) of every piece of every document.
 
     ``local`` numbers the pieces of one length in one task. Written once, so that both keep.
     """
+    context = max(tiers)
     kind = docs.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -74,10 +90,12 @@ def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end: int = END) -
                 part, rows = batch.slice(at, 256), []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     ids = np.append(encode(text or "", allowed_special="all"), end).astype("<u4")
-                    for start in range(0, len(ids), context):
-                        piece = ids[start : start + context]
+                    start = 0
+                    for length in cuts(len(ids), tiers, whole):
+                        piece = ids[start : start + length]
                         rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids), task, int(seen[len(piece)])))
-                        seen[len(piece)] += 1
+                        seen[length] += 1
+                        start += length
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
     ship(docs.sparkSession)
@@ -116,8 +134,10 @@ def plan(counts: dict[int, int], tiers: tuple[int, ...] = TIERS) -> list[tuple[i
 
     for tier in sorted(tiers, reverse=True):
         while order and tier_of(order[-1], tiers) == tier:
-            length, n = order[-1], left[order[-1]]
-            groups = [(n, length, [(length, take(length, n), 1, 0)])]  # windows, filled, (length, first rank, copies, offset)
+            length = order[-1]
+            copies = min(context // length, left[length])
+            n = left[length] // copies  # what doesn't make up another such window opens one in the next turn
+            groups = [(n, copies * length, [(length, take(length, n * copies), copies, 0)])]  # windows, filled, (length, first rank, copies, offset)
             while groups:
                 windows, filled, parts = groups.pop()
                 best = fitting(context - filled)
@@ -134,16 +154,33 @@ def plan(counts: dict[int, int], tiers: tuple[int, ...] = TIERS) -> list[tuple[i
     return rows
 
 
+def counted(cut: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """Pieces per task and length as a table, and per length (one number a length at most) for the plan."""
+    per_task = written(cut.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    return per_task, {r[0]: r[1] for r in per_task.groupBy("length").agg(F.sum("n")).collect()}
+
+
+def filled(rows: list[tuple[int, int, int, int, int, int]], context: int) -> float:
+    """The share of a plan's windows that holds tokens."""
+    windows = max((row[4] + row[2] for row in rows), default=0)
+    return sum(length * times * copies for length, _, times, copies, _, _ in rows) / (windows * context) if windows else 1.0
+
+
 def pack(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, end: int = END, step: int = STEP) -> DataFrame:
     """Every piece of every row of ``docs`` (doc_id, text) with its place.
 
     (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group)
     """
     context = max(tiers)
-    cut = written(pieces(docs, path, context, end), "pieces")
-    per_task = written(cut.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
-    counts = {r[0]: r[1] for r in per_task.groupBy("length").agg(F.sum("n")).collect()}  # one row a length at most
-    planned = np.array(sorted(plan(counts, tiers)), dtype=np.int64).reshape(-1, 6)
+    cut = written(pieces(docs, path, tiers, end), "pieces")
+    per_task, counts = counted(cut)
+    rows = plan(counts, tiers)
+    if filled(rows, context) < FILLED:
+        other = written(pieces(docs, path, tiers, end, whole=False), "pieces")
+        other_tasks, counts = counted(other)
+        if filled(again := plan(counts, tiers), context) > filled(rows, context):
+            cut, per_task, rows = other, other_tasks, again
+    planned = np.array(sorted(rows), dtype=np.int64).reshape(-1, 6)
     total = int((planned[:, 4] + planned[:, 2]).max()) if len(planned) else 0
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = per_task.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))

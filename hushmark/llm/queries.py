@@ -31,4 +31,5 @@ QUERIES = {
 SQL = {
     "op1_decontamination": decontamination.ORACLE,
     "op3_perspectives": perspectives.ORACLE,
+    "op7_license_scan": licenses.oracle(),
 }

@@ -67,8 +67,15 @@ def check_places(rows, got, library, context):
     for r in got:
         pieces.setdefault(repr(r.doc_id), []).append((r.start, r.length, r.ids_crc32, r.doc_tokens))
         places.setdefault(r.sequence_id, []).append((r.offset, r.length))
-    cut = lambda a: [(s, len(a[s : s + context]), zlib.crc32(a[s : s + context].tobytes()), len(a)) for s in range(0, len(a), context)]
-    assert {k: sorted(v) for k, v in pieces.items()} == {k: sorted(x for a in v for x in cut(a)) for k, v in want.items()}
+    assert pieces.keys() == want.keys()
+    for k, docs in want.items():
+        # repeated ids: their documents' pieces, told apart by length of the document
+        for n in {len(a) for a in docs}:
+            alike = [a for a in docs if len(a) == n]
+            own = sorted(p for p in pieces[k] if p[3] == n)
+            starts = sorted({p[0] for p in own})
+            spans = list(zip(starts, [*starts[1:], n], strict=True))
+            assert own == sorted((s, e - s, zlib.crc32(a[s:e].tobytes()), n) for a in alike for s, e in spans)
     for p in places.values():
         at = 0
         for offset, length in sorted(p):
@@ -92,6 +99,20 @@ def test_packing(spark, library):
     assert all(r.tier == next(t for t in (8, 16, 32) if r.length <= t) for r in short)
 
 
+def test_packing_without_short_pieces(spark, library):
+    rows = [row(i, "alpha " * (620 + i % 7)) for i in range(90)]
+    got = packing.pack(documents(spark, rows).repartition(4), PATH, tiers=(128, 256, 512, 1024)).collect()
+    places = check_places([r[:2] for r in rows], got, library, 1024)
+    assert sum(n for p in places.values() for _, n in p) / (1024 * len(places)) > 0.97
+
+
+def test_cuts():
+    assert packing.cuts(5000, (256, 512, 1024, 2048), True) == [2048, 2048, 904]
+    assert packing.cuts(5000, (256, 512, 1024, 2048), False) == [2048, 2048, 512, 256, 136]
+    assert packing.cuts(2048, (256, 512, 1024, 2048), True) == [2048]
+    assert packing.cuts(1, (256, 2048), False) == [1]
+
+
 def test_packing_nothing(spark):
     assert packing.pack(empty(spark), PATH).count() == 0
     assert [(r.length, r.sequence_id, r.offset) for r in packing.pack(documents(spark, [row(1, None)]), PATH).collect()] == [(1, 0, 0)]
