@@ -6,9 +6,12 @@ place in the rendered dialogue is the mask. System turns stay system turns for e
 nobody's perspective.
 
 A dialogue is given as its segments, one row a turn, with the place of each in the whole, so a
-conversation may have any length: places are sums of lengths, taken inside chunks of turns and
-over one row a chunk. Joining the segments of a (conversation, participant) in order of ``start``
-gives the rendered text.
+conversation may have any length. Turns are dealt out once, by conversation and chunk of turn
+numbers. In a perspective every turn is as long as for an onlooker, but for the speaker's own turns,
+whose header is shorter by a fixed number of characters. So a place is the length of the onlooker's
+turns before it, less that number for each own turn before it: sums inside the chunk, and for the
+chunks before it a table of one row per chunk and participant, made from lengths alone. Joining
+the segments of a (conversation, participant) in order of ``start`` gives the rendered text.
 
 Defined results: a null text is empty; a null role is a speaker named ``unknown``; null turns come
 first; turns with equal numbers are ordered by speaker and text; repeated rows are repeated turns;
@@ -19,15 +22,15 @@ by length, so no text can move them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hushmark.llm.common import table
 
-CHUNK = 1000
+CHUNK = 256
 SYSTEM, UNKNOWN = "system", "unknown"
-OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
+OPEN, CLOSE, NAMED = "<|im_start|>", "<|im_end|>\n", "user name="
 
 
 def rotate(turns: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -37,41 +40,48 @@ def rotate(turns: DataFrame, chunk: int = CHUNK) -> DataFrame:
     place in its dialogue and the trained place in it, in characters, ends excluded; null masks where untrained.
     """
     rows = turns.select(
-        "conv_id", "turn", F.coalesce("role", F.lit(UNKNOWN)).alias("speaker"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    people = rows.where(F.col("speaker") != SYSTEM).select(F.col("conv_id").alias("_conv"), F.col("speaker").alias("participant")).distinct()
-    each = rows.join(people, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
-    own = F.col("speaker") == F.col("participant")
-    head = F.concat(
-        F.lit(OPEN),
-        F.when(F.col("speaker") == SYSTEM, F.lit("system")).when(own, F.lit("assistant")).otherwise(F.concat(F.lit("user name="), F.col("speaker"))),
-        F.lit("\n"),
-    )
-    each = each.withColumn("head", head).withColumn("own", own).withColumn("chunk", F.floor(F.col("turn") / chunk))
-    size = (F.char_length("head") + F.char_length("text") + len(CLOSE)).cast("long")
-    each = each.withColumn("size", size)
-    # where each chunk starts, from one row a chunk; then places inside the chunk
-    sums = each.groupBy("conv_id", "participant", "chunk").agg(F.sum("size").alias("all"))
-    earlier = Window.partitionBy("conv_id", "participant").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select(
-        F.col("conv_id").alias("_conv"), F.col("participant").alias("_part"), F.col("chunk").alias("_chunk"),
-        F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("base"),
+        "conv_id", "turn", F.coalesce("role", F.lit(UNKNOWN)).alias("speaker"), F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")).alias("key"),  # never null
+        F.coalesce(F.floor(F.col("turn") / chunk), F.lit(-(1 << 60))).alias("chunk"),
+    ).withColumn("seen", F.char_length(_head(F.col("speaker"), F.lit(False))) + F.char_length("text") + len(CLOSE))
+    # where the chunks of each perspective start
+    parts = rows.groupBy("key", "chunk", "speaker").agg(F.sum("seen").alias("seen"), F.count(F.lit(1)).alias("n"))
+    people = parts.where(F.col("speaker") != SYSTEM).select("key", F.col("speaker").alias("participant")).distinct()
+    chunks = parts.groupBy("key", "chunk").agg(F.sum("seen").alias("seen"))
+    own = parts.select("key", "chunk", F.col("speaker").alias("participant"), "n")
+    earlier = Window.partitionBy("key", "participant").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = chunks.join(people, "key").join(own, ["key", "chunk", "participant"], "left").select(
+        "key", "chunk", "participant",
+        (F.coalesce(F.sum("seen").over(earlier), F.lit(0)) - _shorter(F.col("participant")) * F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("base"),
     )
-    inside = Window.partitionBy("conv_id", "participant", "chunk").orderBy("turn", "speaker", "text").rowsBetween(Window.unboundedPreceding, -1)
-    placed = each.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
-        base,
-        F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("participant") == F.col("_part")) & F.col("chunk").eqNullSafe(F.col("_chunk")),
-    )
-    start = F.col("base") + F.col("before")
-    mask = start + F.char_length("head")
-    return placed.select(
+    # inside a chunk: what stands before each turn, and who spoke; no more than a chunk holds
+    before = Window.partitionBy("key", "chunk").orderBy("turn", "speaker", "text").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("passed", F.coalesce(F.sum("seen").over(before), F.lit(0))).withColumn("spoke", F.collect_list("speaker").over(before))
+    each = placed.join(starts, ["key", "chunk"])
+    trained = F.col("speaker") == F.col("participant")
+    own_before = F.size(F.filter("spoke", lambda s: s == F.col("participant")))
+    start = F.col("base") + F.col("passed") - _shorter(F.col("participant")) * own_before
+    each = each.select("conv_id", "participant", "turn", "speaker", "text", trained.alias("trained"), start.cast("long").alias("start"), _head(F.col("speaker"), trained).alias("head"))
+    mask = F.col("start") + F.char_length("head")
+    stop = mask + F.char_length("text")
+    return each.select(
         "conv_id", "participant", "turn", "speaker",
         F.concat("head", "text", F.lit(CLOSE)).alias("segment"),
-        start.alias("start"), (start + F.col("size")).alias("end"), F.col("own").alias("trained"),
-        F.when(F.col("own"), mask).alias("mask_start"), F.when(F.col("own"), mask + F.char_length("text")).alias("mask_end"),
+        "start", (stop + len(CLOSE)).alias("end"), "trained",
+        F.when(F.col("trained"), mask).alias("mask_start"), F.when(F.col("trained"), stop).alias("mask_end"),
     )
 
 
+def _head(speaker: Column, trained: Column) -> Column:
+    who = F.when(speaker == SYSTEM, F.lit("system")).when(trained, F.lit("assistant")).otherwise(F.concat(F.lit(NAMED), speaker))
+    return F.concat(F.lit(OPEN), who, F.lit("\n"))
+
+
+def _shorter(participant: Column) -> Column:
+    """By how much a speaker's header is longer for others than for themselves."""
+    return F.char_length(participant) + (len(NAMED) - len("assistant"))
+
+
 def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(table(spark, sf_dir, "conversations"))
 
