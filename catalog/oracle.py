@@ -12,7 +12,8 @@ from hushmark.rules.pii import AUDIT_NAMES, NAME_BANK, TOKENS
 
 ORACLE: dict[str, str] = {}
 
-# The six redaction patterns as stated, in RE2's (and CPython's) dialect.
+# The six redaction patterns as stated, in RE2's (and CPython's) dialect; a street word that
+# is stated twice and a tail that cannot match are left out.
 _BANK = "|".join(NAME_BANK)
 PATTERNS = {
     "name": rf"\b(?:{_BANK})\s+(?:{_BANK})\b",
