@@ -106,11 +106,12 @@ def phrase_matches(index: PositionalIndex, items: DataFrame, window: int = WINDO
     ).unionAll(anchors.where(~alone).select(*pair, "second_term", "second", F.lit(2)))
     shifted = index.postings.join(broadcast_if_small(sides), "term_id").withColumn("diag", F.col("pos") - F.col("j"))
     met = shifted.groupBy("doc_id", "copy", "diag", *pair).agg(F.bit_or("side").alias("sides"))
-    found = met.where("sides = 3 and diag + lo >= 0")
+    # (a document may begin within an item: the first windows of a pair may lie before it, later ones in it)
+    found = met.where("sides = 3")
     # intersect with all other lists: what each diagonal would need, and the postings that meet it
     needs = written(
         found.join(broadcast_if_small(words.select("item", "item_id", "n", "j", "term_id")), "item")
-        .where(F.col("j").between(F.col("lo"), F.col("hi")))
+        .where(F.col("j").between(F.col("lo"), F.col("hi")) & (F.col("diag") + F.col("j") >= 0))
         .select("doc_id", "copy", "item", "item_id", "n", "diag", "j", "term_id", (F.col("diag") + F.col("j")).alias("pos"))
         .distinct(),
         "needs",

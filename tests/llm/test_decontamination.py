@@ -110,3 +110,13 @@ def test_other_windows(spark, window):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = d.decontaminate(documents(spark, rows), items, window).drop("copy")
     assert sorted(map(repr, map(tuple, got.collect()))) == brute([r[:2] for r in rows], ITEMS, window)
+
+
+def test_documents_that_begin_within_an_item(spark):
+    words = [f"c{i}" for i in range(20)]
+    words[12:14] = "rareone", "raretwo"
+    items = [(1, " ".join(words)), (2, " ".join(words[:12]))]
+    rows = [row(1000 + i, " ".join(w for w in words if not w.startswith("rare"))) for i in range(5)]
+    rows += [row(a * 100 + b, " ".join(words[a:b])) for a in range(20) for b in range(a + 1, 21)]
+    got = d.decontaminate(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).drop("copy")
+    assert sorted(map(repr, map(tuple, got.collect()))) == brute([r[:2] for r in rows], items)
