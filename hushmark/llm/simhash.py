@@ -145,24 +145,28 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = 2, marks:
     """
     marked = written(marks(docs, size), "fingerprints")
     kinds = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "kinds")
-    roots = components(links(kinds.select("fp"), most))
+    return named(marked, kinds, components(links(kinds.select("fp"), most))).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def named(marked: DataFrame, kinds: DataFrame, roots: DataFrame) -> DataFrame:
+    """``marked`` (doc_id, fp) with its component_id: the least id of ``kinds`` (fp, least) below its root (node, root)."""
     linked = kinds.join(roots, kinds.fp == roots.node).select("fp", "least", "root")
     first = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     moved = linked.join(first, "root").select("fp", "component_id")
-    named = kinds.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return marked.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    told = kinds.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    return marked.join(told, "fp")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, find: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
     """One row of each component stays, that with the smallest id (of equal ids, the smallest text hash).
 
     All columns stay as they are. The rows that go are told by id and text hash, so null and repeated
-    ids do no harm; of rows that are alike in both, one stays.
+    ids do no harm; of rows that are alike in both, one stays. ``find`` names the components.
     """
     keyed = docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("copy")).alias("doc_id"), "text")
-    found = written(near_duplicates(keyed).select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("first")), "components")
+    found = written(find(keyed).select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("first")), "components")
     states = found.groupBy("doc_id").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("n"))
     odd = written(states.where("not first or n > 1").select(F.col("doc_id.id").alias("_id"), F.col("doc_id.copy").alias("_copy"), "first"), "not-single")
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_copy"))
