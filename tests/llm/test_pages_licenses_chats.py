@@ -49,6 +49,26 @@ def test_pages_extra_columns_and_nothing(spark):
     assert [tuple(r) for r in got] == [(1, "u", "a b", 3)] * 2
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<body class='no-sidebar'><article>a</article></body>", "a"),
+        ("<html class=widget id='menu'><body class='sidebar'><main>a</main></body>", "a"),
+        ("<div class='has-sidebar'><main>a</main><div class='sidebar'>x</div></div>", "a"),
+        ("<div class='social'><main>a<div class='comment-list'>x</div>b</main></div>", "a\nb"),
+        ("<form id='f'><div class='widget'><article>a</article></div></form>", "a"),
+        ("<article><h2 id='related-work'>a</h2><p id='notice'>b</p><div id='widget-design'>c</div><h2 id=menu>d</h2></article>", "a\nb\nc\nd"),
+        ("<article>a<div class='ad-slot'>x</div><p class='notice'>x</p><div class='big sponsored'>x</div><section role='navigation'>x</section></article>", "a"),
+        ("<article>a</article><div class='related'><article>x</article></div><aside><article>x</article></aside>", "a"),
+        ("<div class='comments'><article>x</article></div><article>a<div class='comments'><article>x</article></div></article>", "a"),
+        ("<aside><article>x</article></aside><article></article>", ""),
+        ("<aside><article>x</article></aside>", ""),
+    ],
+)
+def test_marks_are_whole_names_beside_the_article(html, want):
+    assert main_text.main_text(html) == want
+
+
 # --- licences
 
 TEXTS = [
