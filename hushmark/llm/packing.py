@@ -17,13 +17,14 @@ much padding (a corpus without short pieces to fill gaps with), the pieces are m
 tiers' lengths, and the better plan is taken.
 
 Defined results: a null text is an empty one, a single end token; repeated rows are packed each;
-ties go to the earlier task and row.
+ties go to the earlier task and row; runs of blanks may be of any length.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,6 +42,9 @@ TIERS = (256, 512, 1024, 2048)
 END = 1
 STEP = 256
 FILLED = 0.97
+#: The blanks of the pattern, and from how many on a run is cut out by hand once the pattern engine has given up.
+BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+LONG_RUN = 100_000
 
 
 @functools.lru_cache(maxsize=4)
@@ -56,6 +60,34 @@ def encoder(path: str):
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+@functools.lru_cache(maxsize=4)
+def _specials(path: str) -> re.Pattern:
+    names = sorted(encoder(path).special_tokens_set, key=len, reverse=True)
+    return re.compile(f"({'|'.join(map(re.escape, names))})" if names else r"(?!)")
+
+
+def ids_of(text: str, path: str) -> np.ndarray:
+    """The ids of a text. Where the pattern engine gives up, at runs of over a million blanks, those are cut out by hand.
+
+    The pattern takes a run of blanks as one word, but for its last blank if more text follows.
+    """
+    made = encoder(path)
+    try:
+        return made.encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        parts = []
+    for segment in _specials(path).split(text):
+        at = 0
+        for m in BLANKS.finditer(segment):
+            end = m.end() if m.end() == len(segment) else m.end() - 1
+            if end - m.start() >= LONG_RUN:
+                parts.append(made.encode_to_numpy(segment[at : m.start()], allowed_special="all"))
+                parts.append(np.array(made._encode_single_piece(segment[m.start() : end]), dtype=np.uint32))
+                at = end
+        parts.append(made.encode_to_numpy(segment[at:], allowed_special="all"))
+    return np.concatenate(parts)
+
+
 def cuts(n: int, tiers: tuple[int, ...], whole: bool) -> list[int]:
     """The lengths of the pieces of a document of ``n`` tokens.
 
@@ -84,12 +116,12 @@ def pieces(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, end: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, task, seen = encoder(path).encode_to_numpy, TaskContext.get().partitionId(), np.zeros(context + 1, np.int64)
+        task, seen = TaskContext.get().partitionId(), np.zeros(context + 1, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ids = np.append(encode(text or "", allowed_special="all"), end).astype("<u4")
+                    ids = np.append(ids_of(text or "", path), end).astype("<u4")
                     start = 0
                     for length in cuts(len(ids), tiers, whole):
                         piece = ids[start : start + length]

@@ -137,3 +137,15 @@ def test_plan_places_every_rank_once(counts):
             at += n
         assert at <= 64
     assert sorted(fill) == list(range(len(fill)))
+
+
+def test_long_runs_of_blanks(library):
+    tail = "<|endoftext|> y" + "\t" * 1_200_000 + "'s z  "
+    for text in ("a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "x <|endoftext|>" + " \n" * 1_000_000 + tail):
+        assert np.array_equal(packing.ids_of(text, PATH), ids(library, text))
+
+
+def test_packing_a_long_run_of_blanks(spark):
+    got = packing.pack(documents(spark, [row(1, "a" + " " * 2_000_000 + "b"), row(2, "one")]), PATH).collect()
+    n = {r.doc_id: r.doc_tokens for r in got}
+    assert sum(r.length for r in got) == sum(n.values()) and n[2] == 2 and n[1] > 1
