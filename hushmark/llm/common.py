@@ -90,6 +90,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], *wanted: str) -> list[str]:
+    """Names like ``wanted`` that none of ``columns`` has (case-insensitive), for helper columns of a join."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        made = name
+        while made.lower() in taken:
+            made = f"_{made}"
+        taken.add(made.lower())
+        out.append(made)
+    return out
+
+
 def small(df: DataFrame, *chars: str) -> bool:
     """Whether a table is small enough to broadcast: rows and characters of the named columns."""
     size = [F.coalesce(F.sum(F.char_length(c)), F.lit(0)) for c in chars]

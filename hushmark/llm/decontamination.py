@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hushmark.llm.common import broadcast_if_small, lower_words, small, table, written
+from hushmark.llm.common import broadcast_if_small, lower_words, small, table, unused, written
 
 WINDOW = 10
 
@@ -189,8 +189,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without any match, all columns unchanged."""
     index = build_index(docs.select("doc_id", "text"), item_words(items))
-    found = written(phrase_matches(index, items, window).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).distinct(), "contaminated")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_copy"))
+    key, copy = unused(docs.columns, "_id", "_copy")
+    found = written(phrase_matches(index, items, window).select(F.col("doc_id").alias(key), F.col("copy").alias(copy)).distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(found[key]) & (F.xxhash64(docs["text"]) == found[copy])
     return docs.join(broadcast_if_small(found), same, "left_anti")
 
 

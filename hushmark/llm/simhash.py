@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushmark.llm.common import broadcast_if_small, per_batch, table, written
+from hushmark.llm.common import broadcast_if_small, per_batch, table, unused, written
 
 SHINGLE = 3
 SEED = 42
@@ -168,11 +168,12 @@ def keep_one(docs: DataFrame, find: Callable[[DataFrame], DataFrame] = near_dupl
     keyed = docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("copy")).alias("doc_id"), "text")
     found = written(find(keyed).select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("first")), "components")
     states = found.groupBy("doc_id").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("n"))
-    odd = written(states.where("not first or n > 1").select(F.col("doc_id.id").alias("_id"), F.col("doc_id.copy").alias("_copy"), "first"), "not-single")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_copy"))
+    key, copy, first = unused(docs.columns, "_id", "_copy", "_first")
+    odd = written(states.where("not first or n > 1").select(F.col("doc_id.id").alias(key), F.col("doc_id.copy").alias(copy), F.col("first").alias(first)), "not-single")
+    same = docs["doc_id"].eqNullSafe(odd[key]) & (F.xxhash64(docs["text"]) == odd[copy])
     single = docs.join(broadcast_if_small(odd), same, "left_anti")
-    again = docs.join(broadcast_if_small(odd.where("first")), same, "left_semi")
-    once = again.withColumn("_copy", F.xxhash64("text")).dropDuplicates(["doc_id", "_copy"]).drop("_copy")
+    again = docs.join(broadcast_if_small(odd.where(F.col(first))), same, "left_semi")
+    once = again.withColumn(copy, F.xxhash64("text")).dropDuplicates(["doc_id", copy]).drop(copy)
     return single.unionAll(once.select(*docs.columns))
 
 

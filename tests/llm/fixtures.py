@@ -4,14 +4,14 @@ import random
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
-    "n_words string, score string, fp string, term string, copy string, first string, tier string, value string"
+    "n_words string, score string, fp string, term string, copy string, first string, tier string, value string, _id string, _copy string, _first string"
 )
 
 WORDS = ("alpha", "beta", "Gamma", "delta", "épsilon", "Zeta", "eta", "theta", "iota", "kappa", "ÉTA", "x1")
 
 
 def row(doc_id, text, lang="en"):
-    return (doc_id, text, lang, "s", None if text is None else len(text), *["clash"] * 8)
+    return (doc_id, text, lang, "s", None if text is None else len(text), *["clash"] * 11)
 
 
 def odd_rows():
