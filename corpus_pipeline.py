@@ -6,7 +6,8 @@ training sequences.
 
 * a document whose language stays unclear goes (as do texts without a letter);
 * one that the quality classifier scores below its cut goes;
-* of documents linked by a Jaccard similarity of 0.8 or more on five-word shingles, the one with the smallest id stays;
+* of documents whose SimHash fingerprints (3-word shingles) link at 2 or fewer differing bits, the one with
+  the smallest id in the linked group stays (op6's operator, no word-similarity check beside it);
 * one that holds ten consecutive words of a benchmark item (or a whole shorter item) goes;
 * the rest is packed.
 """
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hushmark.llm import decontamination, language_id, near_copies, packing, quality_classifier, simhash
+from hushmark.llm import decontamination, language_id, packing, quality_classifier, simhash
 from hushmark.llm.common import table, written
 
 
@@ -29,7 +30,7 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs, near_copies.near_duplicates)
+    return simhash.keep_one(docs, simhash.near_duplicates)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
