@@ -11,6 +11,7 @@ from hushmark.llm import (
     perspectives,
     quality_classifier,
     quality_rules,
+    secrets,
     simhash,
     token_counts,
 )
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality_classifier": quality_classifier.op8_quality_classifier,
     "op9_packing": packing.op9_packing,
     "op10_main_text": main_text.op10_main_text,
+    "op11_secret_scan": secrets.op11_secret_scan,
 }
 
 SQL = {

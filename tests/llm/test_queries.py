@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(SQL) <= set(__spark_entry__.oracle_sql())
 
 
