@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hushmark.llm import (
     decontamination,
+    filter_audit,
     language_id,
     licenses,
     main_text,
@@ -28,10 +29,12 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_main_text": main_text.op10_main_text,
     "op11_secret_scan": secrets.op11_secret_scan,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 SQL = {
     "op1_decontamination": decontamination.ORACLE,
     "op3_perspectives": perspectives.ORACLE,
     "op7_license_scan": licenses.oracle(),
+    "op13_filter_audit": filter_audit.ORACLE,
 }
