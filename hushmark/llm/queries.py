@@ -5,6 +5,7 @@ from __future__ import annotations
 from hushmark.llm import (
     decontamination,
     filter_audit,
+    hard_negatives,
     language_id,
     licenses,
     main_text,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_main_text": main_text.op10_main_text,
     "op11_secret_scan": secrets.op11_secret_scan,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
