@@ -50,20 +50,26 @@ class Kind:
     most: int | None
     #: base: reported alone; weak: reported when linked; part: never reported, only links
     role: str
+    #: the same matches with the length inside the pattern: only passing matches are found, at the same places
+    scan: str = ""
 
 
 # The base patterns and their lengths, as the contract gives them.
-ASSIGN = Kind("assign", r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12, None, "base")
-ACCESS = Kind("access", r"AKIA[A-Z0-9]+", 0, 18, None, "base")
-HEX = Kind("hex", r"[0-9a-f]+", 0, 16, None, "base")
+ASSIGN = Kind("assign", r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12, None, "base",
+              r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]{12,})")
+ACCESS = Kind("access", r"AKIA[A-Z0-9]+", 0, 18, None, "base", r"AKIA[A-Z0-9]{14,}")
+HEX = Kind("hex", r"[0-9a-f]+", 0, 16, None, "base", r"[0-9a-f]{16,}")
 
 # The linking method's own parts and candidates.
-AWS_SECRET = Kind("aws_secret", r"[A-Za-z0-9+/]+", 0, 40, 40, "weak")
-PASSWORD = Kind("password", r"(?i)(pass|pwd|pw)[\"']?\x20*[:=]\x20*[\"']?([^\x20\x09-\x0D\"']+)", 2, 6, None, "weak")
-USER = Kind("user", r"(?i)(user|username|login|client_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9._@-]+)", 2, 3, None, "part")
+AWS_SECRET = Kind("aws_secret", r"[A-Za-z0-9+/]+", 0, 40, 40, "weak", r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/])")
+PASSWORD = Kind("password", r"(?i)(pass|pwd|pw)[\"']?\x20*[:=]\x20*[\"']?([^\x20\x09-\x0D\"']+)", 2, 6, None, "weak",
+                r"(?i)(pass|pwd|pw)[\"']?\x20*[:=]\x20*[\"']?([^\x20\x09-\x0D\"']{6,})")
+USER = Kind("user", r"(?i)(user|username|login|client_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9._@-]+)", 2, 3, None, "part",
+            r"(?i)(user|username|login|client_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9._@-]{3,})")
 #: a scheme of at most 16 characters: an open length would try every start against the whole rest (quadratic)
 URL = Kind("url", r"[A-Za-z][A-Za-z0-9+.-]{0,15}://[^\x20\x09-\x0D/\"'<>]+", 0, 4, None, "part")
-HOST = Kind("host", r"(?i)(host|hostname|endpoint|server)\x20*[:=]\x20*[\"']?([A-Za-z0-9.-]+)", 2, 3, None, "part")
+HOST = Kind("host", r"(?i)(host|hostname|endpoint|server)\x20*[:=]\x20*[\"']?([A-Za-z0-9.-]+)", 2, 3, None, "part",
+            r"(?i)(host|hostname|endpoint|server)\x20*[:=]\x20*[\"']?([A-Za-z0-9.-]{3,})")
 #: What ends a scope.
 BREAK = Kind("break", r"\n[\x20\x09\x0B\x0C\x0D]*\n", 0, 0, None, "break")
 
@@ -74,10 +80,16 @@ RANK = {k.name: i for i, k in enumerate(KINDS)}
 
 
 def _arrays(text: Column, kind: Kind) -> list[Column]:
-    """The matches of a kind, their checked groups and the texts between them, as three array columns."""
-    whole = F.regexp_extract_all(text, F.lit(kind.pattern), 0)
-    part = whole if kind.group == 0 else F.regexp_extract_all(text, F.lit(kind.pattern), kind.group)
-    return [whole.alias(f"m{kind.name}"), part.alias(f"p{kind.name}"), F.split(text, kind.pattern, -1).alias(f"g{kind.name}")]
+    """The passing matches of a kind, their checked groups and the texts between them, as three array columns.
+
+    The scan pattern finds only matches that pass, at the places where the plain pattern finds them: a
+    failing match could only hide a later one inside itself, and that one would fail too (its value ends
+    where the outer value ends). So no failing match is ever exploded into a row.
+    """
+    scan = kind.scan or kind.pattern
+    whole = F.regexp_extract_all(text, F.lit(scan), 0)
+    part = whole if kind.group == 0 else F.regexp_extract_all(text, F.lit(scan), kind.group)
+    return [whole.alias(f"m{kind.name}"), part.alias(f"p{kind.name}"), F.split(text, scan, -1).alias(f"g{kind.name}")]
 
 
 def _matches(kind: Kind) -> Column:
