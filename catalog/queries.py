@@ -39,7 +39,7 @@ def query(function: Query) -> Query:
 
 
 def _turns():
-    return ordered.chunk_by_position("turn", 1_000)
+    return ordered.RANGED
 
 
 # --- redaction -----------------------------------------------------------------------
@@ -456,7 +456,7 @@ def status_invalid_transitions(spark, folder):
     history = derive.user_history(spark, folder)
     return transitions.invalid_transitions(
         history, "user_id", "customer_status", ["ts", "seq"],
-        ordered.chunk_by_time(history, "ts"), edges=label_rules.STATUS_EDGES,
+        ordered.RANGED, edges=label_rules.STATUS_EDGES,
     )
 
 

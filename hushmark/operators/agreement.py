@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hushmark.functions import text_array
-from hushmark.plans.ordered import chunk_by_hash, number_rows
+from hushmark.plans.ordered import RANGED, number_rows
 from hushmark.rules import labels as rules
 
 DIMENSIONS = rules.SESSION_DIMENSIONS
@@ -256,9 +256,7 @@ def kappa_summary(kappas: DataFrame) -> DataFrame:
 def shuffled_bank(control: DataFrame, seed: str, id_column: str = "id") -> DataFrame:
     """The control items in a repeatable random order: adds 0-based ``position``."""
     mixed = control.withColumn("_mix", F.md5(F.concat_ws("|", F.lit(seed), F.col(id_column))))
-    return number_rows(
-        mixed, [], ["_mix", id_column], chunk_by_hash(F.col("_mix"))
-    ).drop("_mix")
+    return number_rows(mixed, [], ["_mix", id_column], RANGED).drop("_mix")
 
 
 def calibration_sessions(

@@ -14,6 +14,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hushmark.plans.ranged import ordered_rows
+
+#: Pass as ``chunk`` to cut groups by range partitioning with boundary carry (``hushmark.plans.ranged``):
+#: no chunk column needed, and null or equal order values are split across tasks too.
+RANGED = object()
+
 
 def _never_null(chunk: Column) -> Column:
     """A missing chunk comes last."""
@@ -56,6 +62,8 @@ def number_rows(
     ``chunk`` must not decrease along ``order``; nulls come last.  Groups are defined by
     ``keys``; none means the whole table.
     """
+    if chunk is RANGED:
+        return ordered_rows(df, keys, order).withColumnRenamed("position", name)
     parts = [*keys, "_chunk"]
     cut = df.withColumn("_chunk", _never_null(chunk))
     slots = cut.withColumn(
@@ -91,6 +99,10 @@ def adjacent_pairs(
     """
     if chunk is None:
         return _adjacent_in_small_groups(df, keys, order, carry)
+    if chunk is RANGED:
+        marked = df.dropna(subset=list(keys)).withColumn("_more", F.lit(True))
+        found = ordered_rows(marked, keys, order, [*carry, "_more"])
+        return found.where(F.col("next__more").isNotNull()).select(*df.columns, "position", *[f"next_{c}" for c in carry])
     parts = [*keys, "_chunk"]
     cut = df.dropna(subset=list(keys)).withColumn("_chunk", _never_null(chunk))
     within = _along(parts, order)
