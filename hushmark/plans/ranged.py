@@ -18,6 +18,7 @@ Rows with null keys form one group of their own.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -87,11 +88,26 @@ def _local(keys: Sequence[str], carry: Sequence[str]):
     return run
 
 
+def _checkpoints(spark) -> None:
+    """Checkpoints go where the session names (``spark.checkpoint.dir``); only a local session may go without."""
+    context = spark.sparkContext
+    if context.getCheckpointDir():
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        context.setCheckpointDir(named)
+    elif context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="hushmark-checkpoints-"))
+    else:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+
+
 def ordered_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = (), partitions: int | None = None
 ) -> DataFrame:
     """``df`` with ``position`` (0-based in its group by ``order``) and ``next_<c>`` of the follower (null for the last)."""
     spark = df.sparkSession
+    _checkpoints(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [*[F.col(k).asc_nulls_last() for k in keys], *[F.col(o).asc_nulls_last() for o in order], F.col("_tie")]
     cut = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *sort).sortWithinPartitions(*sort)
