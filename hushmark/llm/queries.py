@@ -38,5 +38,6 @@ SQL = {
     "op1_decontamination": decontamination.ORACLE,
     "op3_perspectives": perspectives.ORACLE,
     "op7_license_scan": licenses.oracle(),
+    "op11_secret_scan": secrets.oracle(),
     "op13_filter_audit": filter_audit.ORACLE,
 }

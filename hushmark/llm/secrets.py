@@ -179,3 +179,48 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+def oracle() -> str:
+    """DuckDB SQL for ``op11_secret_scan``: the plain patterns, all matches placed, then the length rules."""
+    quoted = lambda text: text.replace("'", "''")
+    parts = []
+    for k in KINDS:
+        pat = quoted(k.pattern)
+        parts.append(
+            f"SELECT doc_id, t, {RANK[k.name]} AS rank, {k.least} AS least, {k.most if k.most is not None else 'NULL'} AS most, "
+            f"regexp_extract_all(t, '{pat}', 0) AS ms, regexp_extract_all(t, '{pat}', {k.group}) AS ps, "
+            f"string_split_regex(t, '{pat}') AS gs FROM u"
+        )
+    names = ", ".join(f"({RANK[k.name]}, '{k.name}')" for k in KINDS)
+    base = ", ".join(str(RANK[k.name]) for k in BASE)
+    joined = "name || ':' || CAST(s AS VARCHAR) || ':' || CAST(en AS VARCHAR)"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+u AS (SELECT DISTINCT doc_id, t FROM d),
+m AS ({" UNION ALL ".join(parts)}),
+e AS (SELECT doc_id, t, rank, least, most, ms, ps, gs, unnest(range(1, len(ms) + 1)) AS i FROM m),
+p AS (SELECT doc_id, t, rank, least, most, i, length(ms[i]) AS len, length(ps[i]) AS chk, length(gs[i]) AS gap FROM e),
+q AS (SELECT *, sum(gap + len) OVER (PARTITION BY doc_id, t, rank ORDER BY i ROWS UNBOUNDED PRECEDING) AS en FROM p),
+ok AS (SELECT doc_id, t, rank, en - len AS s, en FROM q WHERE chk >= least AND (most IS NULL OR chk <= most)),
+sc AS (SELECT *, sum(CASE WHEN rank = {RANK[BREAK.name]} THEN 1 ELSE 0 END) OVER (
+         PARTITION BY doc_id, t ORDER BY s, CASE WHEN rank = {RANK[BREAK.name]} THEN 0 ELSE 1 END ROWS UNBOUNDED PRECEDING) AS scope FROM ok),
+fl AS (SELECT *, bool_or(rank = {RANK[ACCESS.name]}) OVER (PARTITION BY doc_id, t, scope) AS has_access,
+              bool_or(rank IN ({RANK[URL.name]}, {RANK[HOST.name]}, {RANK[USER.name]})) OVER (PARTITION BY doc_id, t, scope) AS has_part FROM sc),
+rep AS (SELECT doc_id, t, rank, s, en FROM fl
+        WHERE rank IN ({base}) OR (rank = {RANK[AWS_SECRET.name]} AND has_access) OR (rank = {RANK[PASSWORD.name]} AND has_part)),
+names AS (SELECT * FROM (VALUES {names}) v(rank, name)),
+agg AS (
+  SELECT doc_id, t,
+    count(*) FILTER (WHERE rank = {RANK[ASSIGN.name]}) AS n_assign,
+    count(*) FILTER (WHERE rank = {RANK[ACCESS.name]}) AS n_access,
+    count(*) FILTER (WHERE rank = {RANK[HEX.name]}) AS n_hex,
+    count(*) FILTER (WHERE rank NOT IN ({base})) AS n_linked,
+    string_agg({joined}, ',' ORDER BY s, rank) FILTER (WHERE rank IN ({base})) AS base,
+    string_agg({joined}, ',' ORDER BY s, rank) AS spans
+  FROM rep JOIN names USING (rank) GROUP BY doc_id, t)
+SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked
+FROM d LEFT JOIN agg ON d.doc_id IS NOT DISTINCT FROM agg.doc_id AND d.t = agg.t
+"""

@@ -23,7 +23,7 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     want = con.sql(SQL[name])
     got = QUERIES[name](spark, FOLDER)
