@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -69,6 +70,72 @@ def test_marks_are_whole_names_beside_the_article(html, want):
     assert main_text.main_text(html) == want
 
 
+def test_every_page_goes_through_the_host_array(spark):
+    menu = "<div>Home News Sport Weather Shop More About Contact us today</div>"
+    shared = "these nine words stand in two articles of it"
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(12))
+    pages = [(1, "http://h.com/1", f"{menu}<article>{own(1)}<p>{shared}</article>"), (2, "http://h.com/2", f"<div>{own(2)}</div>{menu}<p>{shared}")]
+    pages += [(3, "http://h.com/3", f"<article><p>{shared}</p>{own(3)}</article>"), (4, "http://h.com/4", "<p>short"), (5, None, None)]
+    got = {r.page_id: (r.text, r.n_words, r.n_repeated) for r in main_text.measured(spark.createDataFrame(pages, PAGE)).collect()}
+    assert got == {
+        1: (f"{own(1)}\n{shared}", 31, 19),
+        2: (f"{own(2)}\n{shared}", 31, 19),
+        3: (f"{shared}\n{own(3)}", 21, 9),
+        4: ("short", 1, 0),
+        5: ("", 0, 0),
+    }
+
+
+def test_articles_not_shown_do_not_hide_the_text(spark):
+    pages = [
+        (1, "http://a.b/1", "<script>var x = '<article>';</script><div>plain text</div>"),
+        (2, "http://a.b/2", "<aside><article>card</article></aside><div>plain text</div>"),
+        (3, "http://a.b/3", "<!-- <main> --><div>plain text</div>"),
+    ]
+    assert texts(spark, pages) == dict.fromkeys((1, 2, 3), "plain text")
+
+
+def brute_pages(pages, run):
+    met, held, found = {}, set(), []
+    for page_id, url, html in pages:
+        host = re.sub(r"^http://([^/]*).*", r"\1", url)
+        blocks, shown = main_text.shown_blocks(html)
+        words = [(w, inside, b) for b, (inside, text) in enumerate(blocks) for w in text.split()]
+        keys = [(host, *(w for w, _, _ in words[i : i + run])) for i in range(len(words) - run + 1)]
+        for key, (_, inside, _) in zip(keys, words, strict=False):
+            met.setdefault(key, set()).add(tuple(text for _, text in blocks))
+            held |= {key} if inside else set()
+        found.append((page_id, blocks, shown, words, keys))
+    for page_id, blocks, shown, words, keys in found:
+        repeated = {j for i, k in enumerate(keys) if len(met[k]) > 1 for j in range(i, i + run)}
+        dropped = {j for i, k in enumerate(keys) if len(met[k]) > 1 and k not in held for j in range(i, i + run)}
+        lines = [text for inside, text in blocks if inside] if shown else [
+            " ".join(w for j, (w, _, at) in enumerate(words) if at == b and j not in dropped) for b in range(len(blocks))
+        ]
+        yield page_id, "\n".join(x for x in lines if x), len(words), len(repeated)
+
+
+@pytest.mark.parametrize(("run", "bits"), [(8, (10, 30)), (5, (1, 3)), (1, (2, 2))])
+def test_runs_against_brute_force(spark, monkeypatch, run, bits):
+    # few bits meet by chance, which must not change a result; small lists make many of them
+    monkeypatch.setattr(main_text, "SLOT_BITS", bits[0])
+    monkeypatch.setattr(main_text, "REST_BITS", bits[1])
+    monkeypatch.setattr(main_text, "LIST_SUFFIXES", 100)
+    draw = random.Random(run)
+    pool = [" ".join(draw.choice("abcdefgé") * draw.randint(1, 2 if run > 1 else 9) for _ in range(draw.randint(1, 14))) for _ in range(60)]
+    pages = []
+    for i in range(150):
+        parts = [f"<p>{draw.choice(pool)}{draw.choice(['', ' ' + str(i), ' <b>own</b> x' + str(i)])}</p>" for _ in range(draw.randint(0, 6))]
+        at = draw.randint(0, len(parts))
+        kind = draw.choice(["{}<article>{}</article>", "{}{}", "{}<div class='ad'>{}</div>", "{}<main>{}</main><footer>a b c</footer>"])
+        pages.append((i, f"http://{draw.choice(['a.com', 'b.org', 'c.net'])}/{i}", kind.format("".join(parts[:at]), "".join(parts[at:]))))
+    pages += [(p[0] + 1000, p[1], p[2]) for p in draw.sample(pages, 40)]
+    got = main_text.measured(spark.createDataFrame(pages, PAGE).repartition(3), run).collect()
+    want = list(brute_pages(pages, run))
+    assert sorted((r.page_id, r.text, r.n_words, r.n_repeated) for r in got) == sorted(want)
+    assert all(r.n_chars == len(r.text) for r in got) and any(0 < w[3] < w[2] for w in want)
+
+
 # --- licences
 
 TEXTS = [
