@@ -107,7 +107,8 @@ def links(fps: DataFrame, most: int = 2) -> DataFrame:
     if not 0 <= most <= 2:
         raise ValueError("the anchors cover at most two bits")
     spread = anchored(fps)
-    home = spread.where("home").select("anchor", F.col("fp").alias("a"))
+    # Spark sizes replicas as if they were the fingerprints, a thirtieth of what they hold, and would broadcast them
+    home = spread.where("home").select("anchor", F.col("fp").alias("a")).hint("merge")
     near = spread.select("anchor", F.col("fp").alias("b"))
     differ = F.col("a").bitwiseXOR(F.col("b"))
     upper = F.bit_count(_block(F.col("a"), 0).bitwiseXOR(_block(F.col("b"), 0)))

@@ -1,8 +1,11 @@
 import random
 import re
 
+import corpus_pipeline
 import numpy as np
+import pytest
 import xxhash
+from conftest import executed_plan
 from fixtures import documents, empty, listed, odd_rows, row
 from hushmark.llm import simhash
 
@@ -90,3 +93,28 @@ def test_keep_one(spark):
     assert kept.count() == n
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(300) == 1 and 301 not in ids and ids.count(1) == 1
+
+
+@pytest.fixture
+def planned(monkeypatch):
+    """The plans, before and after they ran, of the links that are searched."""
+    seen, find = [], simhash.links
+
+    def links(*args):
+        got = find(*args)
+        seen.append(executed_plan(got))
+        got.collect()
+        seen.append(executed_plan(got))
+        return got
+
+    monkeypatch.setattr(simhash, "links", links)
+    return seen
+
+
+def test_pipeline_stage_never_broadcasts_replicas(spark, tmp_path, planned):
+    documents(spark, odd_rows()).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")  # Spark knows the size of files
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert kept.count() == len({g for _, _, g in groups([(i, plain(r[1])) for i, r in enumerate(odd_rows())])})
+    assert len(planned) == 2
+    assert all("SortMergeJoin" in p and "Broadcast" not in p for p in planned)
