@@ -157,7 +157,8 @@ def named(marked: DataFrame, kinds: DataFrame, roots: DataFrame) -> DataFrame:
     first = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     moved = linked.join(first, "root").select("fp", "component_id")
     told = kinds.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return marked.join(told, "fp")
+    # marked has a row for each document: small in a compressed file, but several times that in a broadcast
+    return marked.hint("merge").join(told, "fp")
 
 
 def keep_one(docs: DataFrame, find: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:

@@ -118,3 +118,14 @@ def test_pipeline_stage_never_broadcasts_replicas(spark, tmp_path, planned):
     assert kept.count() == len({g for _, _, g in groups([(i, plain(r[1])) for i, r in enumerate(odd_rows())])})
     assert len(planned) == 2
     assert all("SortMergeJoin" in p and "Broadcast" not in p for p in planned)
+
+
+def test_op6_broadcasts_no_rows_of_documents(spark, tmp_path, planned):
+    documents(spark, odd_rows()).write.parquet(f"{tmp_path}/documents.parquet")
+    got = simhash.op6_simhash(spark, str(tmp_path))
+    planned.append(executed_plan(got))
+    assert listed(got) == sorted(map(repr, groups([(r[0], plain(r[1])) for r in odd_rows()])))
+    planned.append(executed_plan(got))
+    assert len(planned) == 4
+    assert all("Broadcast" not in p for p in planned[:2])
+    assert all(re.search(r"\w+Join", p).group() == "SortMergeJoin" for p in planned)  # the topmost
